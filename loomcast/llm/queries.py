@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, line_dedup, shards, token_counts
+from . import bpe_codec, decontaminate, line_dedup, shards, token_counts, token_files
 
 QUERIES = {
     "op2_bpe_codec": bpe_codec.query,
     "op3_shards": shards.query,
     "op6_decontaminate": decontaminate.query,
     "op8_token_counts": token_counts.query,
+    "op9_token_files": token_files.query,
     "op10_line_dedup": line_dedup.query,
 }
 
 SQL: dict[str, str] = {
     "op6_decontaminate": decontaminate.SQL,
+    "op9_token_files": token_files.query,
     "op10_line_dedup": line_dedup.SQL,
 }
