@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, line_dedup, shards, token_counts, token_files
+from . import bpe_codec, decontaminate, line_dedup, shards, token_counts, token_files, topk
 
 QUERIES = {
     "op2_bpe_codec": bpe_codec.query,
     "op3_shards": shards.query,
+    "op4_topk": topk.query,
     "op6_decontaminate": decontaminate.query,
     "op8_token_counts": token_counts.query,
     "op9_token_files": token_files.query,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op4_topk": topk.SQL,
     "op6_decontaminate": decontaminate.SQL,
     "op9_token_files": token_files.query,
     "op10_line_dedup": line_dedup.SQL,
