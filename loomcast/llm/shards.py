@@ -55,7 +55,7 @@ def shard(df: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTES,
     sizes = placed.groupBy("shard", "bucket").agg(F.count("*").alias("rows"))
     first = F.coalesce(F.sum("rows").over(W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     begins = sizes.select("bucket", first.alias("slot"))
-    joined = placed.repartition(shards * buckets, "bucket").join(begins, "bucket")
+    joined = placed.join(begins, "bucket")
     schema = T.StructType([f for f in joined.select(*df.columns, "shard", "grown_shard", "bucket", "slot").schema])
 
     def fisher_yates(table: pa.Table) -> pa.Table:
