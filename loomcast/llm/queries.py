@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, line_dedup, shards, token_counts, token_files, topk
+from . import bpe_codec, decontaminate, line_dedup, shards, token_counts, token_files, topk, toxicity
 
 QUERIES = {
     "op2_bpe_codec": bpe_codec.query,
     "op3_shards": shards.query,
     "op4_topk": topk.query,
+    "op5_toxicity": toxicity.query,
     "op6_decontaminate": decontaminate.query,
     "op8_token_counts": token_counts.query,
     "op9_token_files": token_files.query,
