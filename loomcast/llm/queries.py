@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, line_dedup, shards, token_counts, token_files, topk, toxicity
+from . import bpe_codec, decontaminate, line_dedup, shards, substring_dedup, token_counts, token_files, topk, toxicity
 
 QUERIES = {
     "op2_bpe_codec": bpe_codec.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_topk": topk.query,
     "op5_toxicity": toxicity.query,
     "op6_decontaminate": decontaminate.query,
+    "op7_substring_dedup": substring_dedup.query,
     "op8_token_counts": token_counts.query,
     "op9_token_files": token_files.query,
     "op10_line_dedup": line_dedup.query,
