@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, decontaminate, line_dedup, shards, substring_dedup, token_counts, token_files, topk, toxicity
+from . import bpe_codec, decontaminate, line_dedup, neardup, shards, substring_dedup, token_counts, token_files, topk, toxicity
 
 QUERIES = {
+    "op1_near_duplicates": neardup.query,
     "op2_bpe_codec": bpe_codec.query,
     "op3_shards": shards.query,
     "op4_topk": topk.query,
