@@ -149,7 +149,10 @@ def near_duplicates(
     df: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, floor: float = FLOOR, size: int = sh.SIZE, rounds: int = 4, rest: int = 4,
     doc: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """(``doc``, ``_row``, ``class_id``) for each row; ``_row`` is the hash of doc_id and text (:func:`.common.row_key`)."""
+    """(``doc``, ``_row``, ``label``, ``class_id``) for each row.
+
+    ``_row`` is the hash of doc_id and text (:func:`.common.row_key`), ``label`` the class's own key (null: no words).
+    """
     docs = df.select(F.col(doc).cast("long").alias("_doc"), F.xxhash64(doc, text).alias("_row"), F.col(text).alias("_text"))
     texts = docs.select("_text")
     weights = frequent(texts, texts.count(), floor, size)
@@ -188,8 +191,20 @@ def near_duplicates(
             break
     named = nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.col("_first._doc").alias("_d"))
     names = named.groupBy("label").agg(F.min("_d").alias("class_id"))
-    classes = named.select("node", "label").join(names, "label").select("node", "class_id")
-    return signed.select("_doc", "_row", "node").join(classes, "node", "left").select(F.col("_doc").alias(doc), "_row", F.when(F.col("node").isNull(), F.col("_doc")).otherwise(F.col("class_id")).alias("class_id"))
+    classes = named.select("node", "label").join(names, "label").select("node", "label", "class_id")
+    return signed.select("_doc", "_row", "node").join(classes, "node", "left").select(F.col("_doc").alias(doc), "_row", "label", F.when(F.col("node").isNull(), F.col("_doc")).otherwise(F.col("class_id")).alias("class_id"))
+
+
+def one_of_each(df: DataFrame, doc: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` without near-duplicates: of each class the row of smallest doc_id, all rows without words."""
+    found = near_duplicates(df, doc=doc, text=text, **options)
+    first = found.filter("label is not null").groupBy("label").agg(F.min(F.struct(F.col(doc).isNull().alias("n"), F.col(doc).cast("long").alias("d"), "_row")).alias("_k")).select("_k.d", "_k._row")
+    kept = first.unionByName(found.filter("label is null").select(F.col(doc).alias("d"), "_row").distinct())
+    keyed = df.withColumn("_row", F.xxhash64(doc, text))
+    stay = keyed.join(kept.withColumnRenamed("_row", "_r"), (F.col("_row") == F.col("_r")) & F.col(doc).eqNullSafe(F.col("d")), "left_semi")
+    if found.filter("label is not null").groupBy(doc, "_row").count().filter("count > 1").limit(1).count():
+        stay = stay.filter(F.length(F.coalesce(text, F.lit(""))) > 0).dropDuplicates([doc, "_row"]).unionByName(stay.filter(F.length(F.coalesce(text, F.lit(""))) == 0))
+    return stay.drop("_row")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
