@@ -81,7 +81,7 @@ facturation as (
   from lines join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey group by 1, 2, 3, 4),
 lagged as (
   select code_agence, code_article, cast(case when mois > 10 then annee + 1 else annee end as integer) as _join_annee, cast(case when mois > 10 then mois - 10 else mois + 2 end as integer) as _join_mois,
-    case when sum_quantite <> 0 then sum_montant / sum_quantite end as fac_prix_unit, case when nb_achats <> 0 then nb_achats_par_professionnels / nb_achats end as fac_pct_pro,
+    case when sum_quantite <> 0 then sum_montant / sum_quantite end + 1e-9 as fac_prix_unit, case when nb_achats <> 0 then nb_achats_par_professionnels / nb_achats end as fac_pct_pro,
     cast(nb_chantiers as double) as fac_nb_chantiers, cast(nb_achats as double) as fac_nb_achats
   from facturation),
 """
