@@ -174,11 +174,32 @@ def repeated(buffer: np.ndarray, starts: np.ndarray, depth: int = DEPTH) -> np.n
     return out
 
 
-def removed_ranges(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
-    """(_doc, _row, start, stop): byte ranges to remove; they may overlap."""
+def later_copies(docs: DataFrame, doc: str, depth: int) -> DataFrame:
+    """_row of each document whose whole text an earlier one has: all of it repeats."""
+    long = docs.filter(F.octet_length("_text") >= depth)
+    named = long.select(_order(doc), "_row", F.xxhash64("_text").alias("_t"), F.xxhash64(F.lit(1), F.col("_text")).alias("_t2"))
+    first = named.groupBy("_t", "_t2").agg(F.min(F.struct("_doc", "_row")).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    return named.join(first, ["_t", "_t2"]).filter(F.struct("_doc", "_row") > F.col("_first")).select("_row").distinct()
+
+
+def _order(doc: str):
+    return F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)).alias("_doc")
+
+
+def removed_ranges(docs: DataFrame, doc: str, depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
+    """(_row, _doc, start, stop): byte ranges to remove; they may overlap. ``docs``: ``doc``, _row, _text."""
     parts = split_count(docs.sparkSession)
-    at = shared_positions(docs, depth, gram).groupBy("_row").agg(F.collect_set("pos").alias("_at"))
-    texts = docs.select("_doc", "_row", "_text").join(at, "_row")
+    copies = later_copies(docs, doc, depth).withColumn("_copy", F.lit(True))
+    at = shared_positions(docs, depth, gram).groupBy("_row").agg(F.collect_set("pos").alias("_at")).join(copies, "_row", "left")
+    at = at.select("_row", F.when(F.col("_copy"), F.array().cast("array<int>")).otherwise(F.col("_at")).alias("_at"), F.coalesce("_copy", F.lit(False)).alias("_copy"))
+    texts = docs.join(at, "_row").select(_order(doc), "_row", "_text", "_at", "_copy")
+
+    def batch_of(key, who, row, start, more, segment):
+        columns = [pa.array(key), pa.array(who), pa.array(row), pa.array(start.astype(np.int32)), pa.array(more.astype(np.int32)), segment]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "_doc", "_row", "start", "more", "segment"])
+
+    def decided(who, row, start, more):
+        return batch_of(row, who, row, start, more, pa.nulls(len(row), pa.binary()))
 
     def cut(batches):
         done = set()
@@ -187,7 +208,11 @@ def removed_ranges(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> Dat
             doc, row, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3)
             flat, bounds = lists.flatten().to_numpy(), lists.offsets.to_numpy()
             bounds = bounds - bounds[0]
+            copy = batch.column(4).to_numpy(zero_copy_only=False)
             for first, end, data, offsets in slices(batch.column(2)):
+                whole = np.flatnonzero(copy[first:end])
+                if len(whole):
+                    yield decided(doc[first + whole], row[first + whole], np.zeros(len(whole), np.int64), np.diff(offsets)[whole] - depth)
                 p, h, lo, hi = anchors(data, offsets, depth, gram)
                 own = np.searchsorted(offsets, p, "right") - 1
                 wanted = flat[bounds[first] : bounds[end]].astype(np.int64) + np.repeat(offsets[:-1], np.diff(bounds[first : end + 1]))
@@ -218,14 +243,20 @@ def removed_ranges(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> Dat
                 if len(known) > 400_000:
                     known.clear()
                 start = lo - offsets[own]
-                out = [
-                    pa.array(np.where(sent, h.view(np.int64), row[first:end][own])), pa.array(doc[first:end][own]), pa.array(row[first:end][own]), pa.array(start.astype(np.int32)),
-                    pa.array((hi - lo).astype(np.int32)), pa.array([s if k else None for s, k in zip(segments, sent, strict=True)], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(out, names=["key", "_doc", "_row", "start", "more", "segment"])
+                who, key = doc[first:end][own], row[first:end][own]
+                late = np.flatnonzero(~sent)
+                if len(late):  # ranges of one document that follow each other become one
+                    late = late[np.lexsort((start[late], own[late]))]
+                    new = np.ones(len(late), bool)
+                    new[1:] = (own[late[1:]] != own[late[:-1]]) | (lo[late[1:]] != hi[late[:-1]] + 1)
+                    tail = late[np.append(new[1:], True)]
+                    late = late[new]
+                    yield decided(who[late], key[late], start[late], hi[tail] - lo[late])
+                go = np.flatnonzero(sent)
+                yield batch_of(h.view(np.int64)[go], who[go], key[go], start[go], (hi - lo)[go], pa.array([segments[i] for i in go.tolist()], pa.binary()))
 
     schema = "key bigint, _doc bigint, _row bigint, start int, more int, segment binary"
-    sent = texts.select("_doc", "_row", "_text", "_at").mapInArrow(cut, schema).repartition(parts, "key")
+    sent = texts.mapInArrow(cut, schema).repartition(parts, "key")
 
     def sort(batches):
         names = ["key", "_doc", "_row", "start", "more", "segment"]
@@ -271,9 +302,11 @@ def removed_ranges(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> Dat
 
 def dedup(df: DataFrame, depth: int = DEPTH, gram: int = GRAM, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary: the bytes that stay) for each row."""
-    docs = df.select(F.col(doc), F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)).alias("_doc"), F.xxhash64(doc, text).alias("_row"), F.col(text).alias("_text"))
-    marks = removed_ranges(docs, depth, gram).groupBy("_doc", "_row").agg(F.collect_list(F.struct("start", "stop")).alias("_cut"))
-    joined = docs.withColumnRenamed("_doc", "_d").join(marks.withColumnRenamed("_row", "_r"), (F.col("_row") == F.col("_r")) & (F.col("_d") == F.col("_doc")), "left").select(doc, "_text", "_cut")
+    docs = df.select(F.col(doc), F.xxhash64(doc, text).alias("_row"), F.col(text).alias("_text"))
+    marks = removed_ranges(docs, doc, depth, gram).groupBy("_row").agg(F.collect_list(F.struct("_doc", "start", "stop")).alias("_cut"))
+    # Joined on the same key as before, so that the shuffled texts are used again.
+    own = F.filter("_cut", lambda c: c["_doc"] == F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)))
+    joined = docs.join(marks, "_row", "left").select(doc, "_text", own.alias("_cut"))
 
     def keep(batches):
         for batch in batches:
