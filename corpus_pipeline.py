@@ -9,37 +9,44 @@ from loomcast.llm import bpe_codec, decontaminate, line_dedup, neardup, toxicity
 from loomcast.llm.common import documents, scratch
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and all other columns as one, so that no name meets an operator's own."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(others))).alias("_others"))
+
+
+def unpacked(made: DataFrame, docs: DataFrame, text=None) -> DataFrame:
+    """``docs``' columns again; with another ``text``, n_chars is made to match."""
+    others = {c: f"_others.c{i}" for i, c in enumerate(c for c in docs.columns if c not in ("doc_id", "text"))}
+    columns = {c: F.col(others.get(c, c)) for c in docs.columns}
+    if text is not None:
+        columns["text"] = text
+        if "n_chars" in columns:
+            columns["n_chars"] = F.coalesce(F.char_length(text), F.lit(0)).cast("long")
+    return made.select(*(column.alias(c) for c, column in columns.items()))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
-
-
-def with_text(docs: DataFrame, text) -> DataFrame:
-    """``docs`` with another text, and n_chars to match."""
-    made = docs.withColumn("text", text)
-    return made.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long")) if "n_chars" in docs.columns else made
+    return unpacked(toxicity.score(packed(docs), model).filter("predicted = 0"), docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document has go; all documents stay."""
-    marked = line_dedup.with_bitmaps(docs)
-    changed = F.when(F.col("keep").isNull(), F.col("text")).otherwise(line_dedup.kept_text(F.col("text"), F.col("keep")))
-    return with_text(marked, changed).select(*docs.columns)
+    marked = line_dedup.with_bitmaps(packed(docs))
+    return unpacked(marked, docs, F.when(F.col("keep").isNull(), F.col("text")).otherwise(line_dedup.kept_text(F.col("text"), F.col("keep"))))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates stays, that of smallest doc_id."""
-    return neardup.one_of_each(docs).select(*docs.columns)
+    return unpacked(neardup.one_of_each(packed(docs)), docs)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside benchmark windows are cut out of the texts; all documents stay."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    others = tuple(c for c in docs.columns if c not in ("doc_id",))
-    found = decontaminate.contamination(docs, items, keep=others)
-    clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(decontaminate.without_spans(F.col("text"), F.col("spans")))
-    return with_text(found, clean).select(*docs.columns)
+    found = decontaminate.contamination(packed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=("text", "_others"))
+    return unpacked(found, docs, F.when(F.size("spans") == 0, F.col("text")).otherwise(decontaminate.without_spans(F.col("text"), F.col("spans"))))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

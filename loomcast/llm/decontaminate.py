@@ -60,7 +60,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc:
     small = grams.limit(broadcast_rows + 1).count() <= broadcast_rows and keyed.limit(broadcast_rows + 1).count() <= broadcast_rows
     hinted = F.broadcast if small else (lambda x: x)
 
-    words = docs.select(doc, *keep, F.xxhash64(doc, text).alias("_key"), F.xxhash64(F.lit(1), F.col(doc), F.col(text)).alias("_key2"), words_of(F.col(text)).alias("_words"))
+    keep = tuple(c for c in keep if c not in (doc, "n_words", "spans", "item_ids"))
+    # Columns passed on travel as one, so that their names don't matter here.
+    passed = F.struct(F.col(doc).alias("doc"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(keep))).alias("_kept")
+    words = docs.select(passed, F.xxhash64(doc, text).alias("_key"), F.xxhash64(F.lit(1), F.col(doc), F.col(text)).alias("_key2"), words_of(F.col(text)).alias("_words"))
     words = words.withColumn("_n", F.size("_words"))
     # Besides the aligned runs, each text sends one row without a run, which keeps texts that have no hit.
     none = F.array(F.struct(F.lit(0).alias("m"), F.lit(-1).alias("p"), F.lit(None).cast("long").alias("gram")))
@@ -77,7 +80,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc:
         made = until(count, lambda i: F.struct((first + i).alias("start"), F.lit(w).alias("w"), F.array_join(F.slice("_words", first + i + 1, F.lit(w)), " ").alias("window")))
         return F.when(F.col("m") == m, made).otherwise(F.slice(made, 1, 0))
 
-    kept = [doc, *keep, "_key", "_key2", "_n"]
+    kept = ["_kept", "_key", "_key2", "_n"]
     tried = F.concat(*(nearby(m, w) for m, w in shapes)) if shapes else F.array().cast("array<struct<start:int,w:int,window:string>>")
     if small:
         hits = rows.join(hinted(grams.withColumn("_hit", F.lit(True))), ["m", "gram"], "left").filter("p < 0 or _hit").select(*kept, "p", tried.alias("_tried"))
@@ -98,7 +101,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc:
         ).otherwise(F.concat(done, F.array(x))).cast(span),
     )
     # A repeated row is one group; it comes back as often as it was there.
-    return grouped.withColumn("_again", F.explode(F.sequence(F.lit(1), "_copies"))).select(doc, *keep, F.col("_n").cast("long").alias("n_words"), F.when(F.size("_hits") == 0, F.array().cast(span)).otherwise(joined).alias("spans"), "item_ids")
+    return grouped.withColumn("_again", F.explode(F.sequence(F.lit(1), "_copies"))).select(F.col("_kept.doc").alias(doc), *(F.col(f"_kept.c{i}").alias(c) for i, c in enumerate(keep)), F.col("_n").cast("long").alias("n_words"), F.when(F.size("_hits") == 0, F.array().cast(span)).otherwise(joined).alias("spans"), "item_ids")
 
 
 def without_spans(text: Column, spans: Column) -> Column:
