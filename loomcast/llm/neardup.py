@@ -6,13 +6,15 @@
    document) / ``floor`` rows, at any size of the corpus, and is sent along with tasks.
 2. Samples. Each document gets a fingerprint of its words, and ``bands`` hashes of ``rows`` weighted samples each.
    Documents of one fingerprint become one node, whatever their number.
-3. Buckets. Nodes that share a band's hash are candidates. A round compares every node with one leader of each of its
-   buckets (the node with most copies first), so that a bucket of any size costs as many pairs as it has members.
-   Pairs are verified by exact weighted Jaccard similarity of the whole texts.
-4. Classes. Verified links make connected components (minimum labels and pointer jumps, each step a stored table).
-   Buckets that still hold several classes get another round with other leaders; once the pairs across classes
-   left in all buckets are no more than ``rest`` times the bucket entries, or after ``rounds``, all of these are
-   verified. So no link between candidates of different classes is left out.
+3. Buckets. Nodes that share a band's hash are candidates. A first round compares every node with one leader of each of
+   its buckets (that with most copies), the next with the others of its bucket, or, in buckets of more than ``wide``
+   nodes, of a random part of about that size; only pairs of different classes are compared. So a round costs a bounded
+   number of pairs for each node. Pairs are verified by exact weighted Jaccard similarity of the whole texts.
+4. Wide buckets that still hold several classes are settled by a prefix join: at similarity s, two texts share a shingle
+   among each one's rarest, before which at most the weight that s allows stands unshared. It finds all pairs across
+   classes that can be similar and hardly any others; a shingle's largest class is compared with the other classes only.
+5. Classes. Verified links make connected components (minimum labels and pointer jumps, each step a stored table). No
+   link between different classes' candidates is left out.
 
 Nothing of the corpus's size reaches the driver. Odds to miss a pair of similarity s are (1 - s**rows)**bands: 2e-4 at
 0.8, 1e-5 at 0.85. A node is named by a 64-bit hash.
@@ -28,13 +30,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import shingles as sh
 from .common import documents, slices, split_count, stored
 
-SIMILARITY, BANDS, ROWS, FLOOR = 0.8, 16, 4, 0.002
-COUNTERS, CHUNK = 1 << 20, 1 << 13
+SIMILARITY, BANDS, ROWS, FLOOR = 0.8, 16, 4, 0.1
+COUNTERS, CHUNK = 1 << 16, 1 << 12
 
 
 def frequent(texts: DataFrame, total: int, floor: float = FLOOR, size: int = sh.SIZE) -> sh.Weights:
@@ -46,7 +49,7 @@ def frequent(texts: DataFrame, total: int, floor: float = FLOOR, size: int = sh.
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
                 h, _, _, _ = sh.shingles(data, offsets, size)
-                held += np.bincount((h >> np.uint64(44)).astype(np.int64), minlength=COUNTERS).astype(np.int32)
+                held += np.bincount((h >> np.uint64(48)).astype(np.int64), minlength=COUNTERS).astype(np.int32)
         for k, part in enumerate(held.reshape(-1, CHUNK)):
             at = np.flatnonzero(part)
             if len(at):
@@ -74,7 +77,7 @@ def frequent(texts: DataFrame, total: int, floor: float = FLOOR, size: int = sh.
             found = []
             for _, _, data, offsets in slices(batch.column(0)):
                 h, _, _, _ = sh.shingles(data, offsets, size)
-                found.append(h[open_[(h >> np.uint64(44)).astype(np.int64)]])
+                found.append(h[open_[(h >> np.uint64(48)).astype(np.int64)]])
             if found:
                 h, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
@@ -145,8 +148,45 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def prefix_pairs(members: DataFrame, texts: DataFrame, weights: sh.Weights, similarity: float, size: int) -> DataFrame:
+    """(a, b) of different labels among ``members`` (node, label) whose texts may be as similar as that: a superset.
+
+    Shingles are ordered by how many members have them, rarest first. Let x be the first shingle that a and b share. What
+    stands before x is not shared, so the shared weight is at most what is left from x on, in either text; similarity s
+    needs s / (1 + s) of both texts' weight. ``reach`` is what a text has left from x on.
+    """
+    joined = members.join(texts, "node").select("node", "label", "_text")
+
+    def run(batches):
+        for batch in batches:
+            for first, _, data, offsets in slices(batch.column(2)):
+                h, n, cut, _ = sh.shingles(data, offsets, size)
+                w = weights.of(h, n)
+                each = np.diff(cut)
+                sums = np.add.reduceat(np.append(w, 0.0), np.minimum(cut[:-1], len(w))) * (each > 0)
+                rows = pa.array(np.repeat(first + np.arange(len(each)), each))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(h.view(np.int64)), pa.array(w), pa.array(np.repeat(sums, each))], names=["node", "label", "x", "w", "total"])
+
+    rows = joined.mapInArrow(run, "node bigint, label bigint, x bigint, w double, total double")
+    counts = rows.groupBy("x").agg(F.count("*").alias("df")).filter("df > 1")
+    # A shingle of one member is shared with none: it only counts as weight before the others.
+    ranked = rows.join(counts, "x", "left").withColumn("df", F.coalesce("df", F.lit(1)))
+    before = F.coalesce(F.sum("w").over(W.partitionBy("node").orderBy("df", "x").rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    need = similarity / (1 + similarity)
+    # The other text weighs at least ``similarity`` times this one.
+    head = ranked.withColumn("reach", F.col("total") - before + 1e-9).filter((F.col("df") > 1) & (F.col("reach") >= need * (1 + similarity) * F.col("total")))
+    head = stored(head.select("x", "node", "label", "reach", "total"), "prefixes")
+    largest = head.groupBy("x", "label").agg(F.count("*").alias("n")).groupBy("x").agg(F.max(F.struct("n", "label"))["label"].alias("_most"), F.count("*").alias("_labels")).filter("_labels > 1")
+    open_ = head.join(largest.select("x", "_most"), "x")
+    few = open_.filter("label <> _most").select("x", F.col("node").alias("a"), F.col("label").alias("_la"), F.col("reach").alias("_ra"), F.col("total").alias("_ta"))
+    other = open_.select("x", F.col("node").alias("b"), "label", "reach", "total")
+    fits = F.least("reach", "_ra") >= need * (F.col("total") + F.col("_ta"))
+    met = few.join(other, "x").filter((F.col("label") != F.col("_la")) & fits)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(
-    df: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, floor: float = FLOOR, size: int = sh.SIZE, rounds: int = 4, rest: int = 4,
+    df: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, floor: float = FLOOR, size: int = sh.SIZE, rounds: int = 1, wide: int = 8,
     doc: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """(``doc``, ``_row``, ``label``, ``class_id``) for each row.
@@ -168,27 +208,25 @@ def near_duplicates(
     pairs = entries.filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     links = stored(verified(pairs, own, weights, similarity, size), "verified")
     labels = components(links)
+    open_ = entries.select("band", "h", "node")
     for turn in range(rounds + 1):
-        classed = entries.join(labels, "node", "left").select("band", "h", "node", F.coalesce("label", "node").alias("label"))
-        split = classed.groupBy("band", "h").agg(F.min("label").alias("_low"), F.max("label").alias("_high"), F.count("*").alias("_m")).filter("_low <> _high")
-        open_ = stored(classed.join(split.select("band", "h"), ["band", "h"]), "open")
-        each = open_.groupBy("band", "h", "label").agg(F.count("*").alias("m"))
-        size_of = each.groupBy("band", "h").agg(((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("n")).agg(F.sum("n"), F.count("*")).first()
-        if not size_of[1]:
+        classed = open_.join(labels, "node", "left").select("band", "h", "node", F.coalesce("label", "node").alias("label"))
+        split = classed.groupBy("band", "h").agg(F.min("label").alias("_low"), F.max("label").alias("_high"), F.count("*").alias("m")).filter("_low <> _high")
+        if turn:  # buckets of up to ``wide`` nodes were compared whole
+            split = split.filter(F.col("m") > wide)
+        open_ = stored(classed.join(split.select("band", "h", "m"), ["band", "h"]), "open")
+        if not open_.limit(1).count():
             break
-        last = turn == rounds or size_of[0] <= rest * open_.count()
-        if last:  # every pair across classes, once
-            other = open_.select("band", "h", F.col("node").alias("b"), F.col("label").alias("_other"))
-            pairs = open_.withColumnRenamed("node", "a").join(other, ["band", "h"]).filter("label < _other")
-        else:  # each node and the leader of another class than its own that this turn's hash picks
-            lead = open_.groupBy("band", "h").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("x"), F.col("node").alias("b"), F.col("label").alias("_other"))).alias("_l"))
-            pairs = open_.withColumnRenamed("node", "a").join(lead.select("band", "h", "_l.b", "_l._other"), ["band", "h"]).filter("label <> _other")
-        tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = stored(verified(tried, own, weights, similarity, size), "verified")
-        links = links.union(more)
+        if turn < rounds:
+            part = F.pmod(F.xxhash64(F.lit(turn), "node"), F.ceil(F.col("m") / wide))
+            dealt = open_.select("band", "h", part.alias("part"), "node", "label")
+            other = dealt.select("band", "h", "part", F.col("node").alias("b"), F.col("label").alias("_other"))
+            pairs = dealt.withColumnRenamed("node", "a").join(other, ["band", "h", "part"]).filter("label < _other").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        else:
+            pairs = prefix_pairs(open_.select("node", "label").distinct(), own, weights, similarity, size)
+        links = links.union(stored(verified(pairs, own, weights, similarity, size), "verified"))
         labels = components(links)
-        if last:
-            break
+        open_ = open_.select("band", "h", "node")
     named = nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.col("_first._doc").alias("_d"))
     names = named.groupBy("label").agg(F.min("_d").alias("class_id"))
     classes = named.select("node", "label").join(names, "label").select("node", "label", "class_id")

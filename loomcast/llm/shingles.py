@@ -83,7 +83,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SIZE) -> tuple[n
 
 
 class Weights:
-    """Term frequency times 1 + ln(N / document frequency), the latter at least ``floor`` of all documents.
+    """Term frequency times 1 + log10(N / document frequency), the latter at least ``floor`` of all documents.
 
     Only shingles in more than that share of documents need a row: there are at most (mean distinct shingles of a
     document) / floor of them, however large the corpus.
@@ -92,8 +92,8 @@ class Weights:
     def __init__(self, total: int, floor: float, keys: np.ndarray, frequencies: np.ndarray):
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.common = (1 + np.log(max(total, 1) / np.maximum(frequencies[order], 1))).astype(np.float64)
-        self.rare = 1 + np.log(1 / floor)
+        self.common = (1 + np.log10(max(total, 1) / np.maximum(frequencies[order], 1))).astype(np.float64)
+        self.rare = 1 + np.log10(1 / floor)
 
     def of(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         out = np.full(len(hashes), self.rare)
