@@ -1 +1 @@
-"""Package."""
+"""There are no streaming datasets yet: all datasets are batch."""
