@@ -8,7 +8,7 @@
    Documents of one fingerprint become one node, whatever their number.
 3. Buckets. Nodes that share a band's hash are candidates. A first round compares every node with one leader of each of
    its buckets (that with most copies), the next with the others of its bucket, or, in buckets of more than ``wide``
-   nodes, of a random part of about that size; only pairs of different classes are compared. So a round costs a bounded
+   nodes, of a random part of about ``FEW``; only pairs of different classes are compared. So a round costs a bounded
    number of pairs for each node. Pairs are verified by exact weighted Jaccard similarity of the whole texts.
 4. Wide buckets that still hold several classes are settled by a prefix join: at similarity s, two texts share a shingle
    among each one's rarest, before which at most the weight that s allows stands unshared. It finds all pairs across
@@ -38,6 +38,7 @@ from .common import documents, slices, split_count, stored
 
 SIMILARITY, BANDS, ROWS, FLOOR = 0.8, 16, 4, 0.1
 COUNTERS, CHUNK = 1 << 16, 1 << 12
+FEW = 3
 
 
 def frequent(texts: DataFrame, total: int, floor: float = FLOOR, size: int = sh.SIZE) -> sh.Weights:
@@ -218,7 +219,7 @@ def near_duplicates(
         if not open_.limit(1).count():
             break
         if turn < rounds:
-            part = F.pmod(F.xxhash64(F.lit(turn), "node"), F.ceil(F.col("m") / wide))
+            part = F.pmod(F.xxhash64(F.lit(turn), "node"), F.when(F.col("m") > wide, F.ceil(F.col("m") / FEW)).otherwise(1))
             dealt = open_.select("band", "h", part.alias("part"), "node", "label")
             other = dealt.select("band", "h", "part", F.col("node").alias("b"), F.col("label").alias("_other"))
             pairs = dealt.withColumnRenamed("node", "a").join(other, ["band", "h", "part"]).filter("label < _other").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
