@@ -20,6 +20,5 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op4_topk": topk.SQL,
     "op6_decontaminate": decontaminate.SQL,
-    "op9_token_files": token_files.query,
     "op10_line_dedup": line_dedup.SQL,
 }

@@ -142,3 +142,10 @@ def test_queries_equal_their_sql(spark, name):
     names = sorted(df.columns)
     want = con.execute(f"select {', '.join(names)} from ({SQL[name]})").fetchall()
     assert sorted(map(tuple, df.select(*names).collect())) == sorted(want)
+
+
+def test_registry():
+    from loomcast.llm.queries import QUERIES, SQL
+
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert set(SQL) == {"op4_topk", "op6_decontaminate", "op10_line_dedup"} and all(isinstance(x, str) for x in SQL.values())
