@@ -72,6 +72,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc:
 
     runs = [aligned(m) for m in sorted({m for m, _ in shapes})]
     rows = words.withColumn("_run", F.explode(F.concat(none, *runs))).withColumns({c: F.col(f"_run.{c}") for c in ("m", "p", "gram")})
+    rows = rows.withColumn("_kept", F.when(F.col("p") < 0, F.col("_kept")))  # once for each text, not with every hit
 
     def nearby(m: int, w: int) -> Column:
         """Windows of w words that cover the run of m words at p."""
@@ -88,8 +89,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc:
         hits = rows.select(*kept, "m", "p", "gram", F.when(F.col("p") >= 0, tried).alias("_tried")).join(grams.withColumn("_hit", F.lit(True)), ["m", "gram"], "left").filter("p < 0 or _hit").select(*kept, "p", "_tried")
     each = hits.select(*kept, "p", F.explode_outer(F.when(F.col("p") >= 0, F.col("_tried"))).alias("_t")).select(*kept, "p", "_t.start", "_t.w", "_t.window")
     found = each.join(hinted(keyed), ["w", "window"], "left").filter("p < 0 or item_id is not null")
-    grouped = found.groupBy(*kept).agg(
-        F.count_if(F.col("p") < 0).cast("int").alias("_copies"),
+    grouped = found.groupBy("_key", "_key2", "_n").agg(
+        F.collect_list("_kept").alias("_rows"),
         F.collect_set(F.when(F.col("p") >= 0, F.struct("start", (F.col("start") + F.col("w")).alias("stop")))).alias("_hits"),
         F.array_sort(F.collect_set(F.when(F.col("p") >= 0, F.col("item_id").cast("string")))).alias("item_ids"),
     )
@@ -101,7 +102,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc:
         ).otherwise(F.concat(done, F.array(x))).cast(span),
     )
     # A repeated row is one group; it comes back as often as it was there.
-    return grouped.withColumn("_again", F.explode(F.sequence(F.lit(1), "_copies"))).select(F.col("_kept.doc").alias(doc), *(F.col(f"_kept.c{i}").alias(c) for i, c in enumerate(keep)), F.col("_n").cast("long").alias("n_words"), F.when(F.size("_hits") == 0, F.array().cast(span)).otherwise(joined).alias("spans"), "item_ids")
+    return grouped.withColumn("_kept", F.explode("_rows")).select(F.col("_kept.doc").alias(doc), *(F.col(f"_kept.c{i}").alias(c) for i, c in enumerate(keep)), F.col("_n").cast("long").alias("n_words"), F.when(F.size("_hits") == 0, F.array().cast(span)).otherwise(joined).alias("spans"), "item_ids")
 
 
 def without_spans(text: Column, spans: Column) -> Column:
