@@ -78,6 +78,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score(docs, one_class).agg(F.max("score")).first()[0] == 0.0
 
 
+def test_toxic_words_that_follow_one_word_are_learnt():
+    rnd = random.Random(4)
+    some = lambda: ["".join(rnd.choice("ta re mi so la do ne ku".split()) for _ in range(rnd.randint(1, 4))) for _ in range(40)]
+    plain = [" ".join(some()).encode() for _ in range(600)]
+
+    def said(what):
+        words = some()
+        words.insert(rnd.randrange(40), what)
+        return " ".join(words).encode()
+
+    toxic = [said("you vilegrunt" if i % 2 else "foulsnark") for i in range(400)]
+    model = toxicity.fit(toxic[:300], plain[:500])
+    assert b"you vilegrunt" in model.toxic and b"foulsnark" in model.toxic
+    assert (model.scores(model.features(*toxicity.packed(toxic[300:]))) >= 0.7).mean() > 0.9
+    assert (model.scores(model.features(*toxicity.packed(plain[500:]))) >= 0.7).mean() < 0.1
+
+
 def test_labels_of_held_out_rows_are_not_learnt(spark):
     docs, labels, _ = made_corpus(spark, 300)
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
