@@ -8,7 +8,7 @@ A document's gains (the highest, the sums of the highest two and four, mean, sha
 of windows) go to a logistic calibration, which makes the score.
 
 Training reads a bounded sample of labelled rows: at most ``sample`` rows of each class, those of smallest hash of
-doc_id, no text over ``longest`` bytes. Scoring covers whole texts of all rows and is narrow: no shuffle.
+doc_id, no text over ``longest`` bytes; of these, all windows. Scoring covers whole texts of all rows and is narrow: no shuffle.
 
 Defined cases: a null or empty text has no windows and gets the score of no gain. A document with several labels takes
 part once for each. If a class lacks rows to train on, every score is the share of toxic labels in the sample (0.0
@@ -18,7 +18,6 @@ without any). Extra columns pass through; ``score`` and ``predicted`` are replac
 from __future__ import annotations
 
 import heapq
-import random
 
 import numpy as np
 import pyarrow as pa
@@ -189,9 +188,8 @@ def fit(toxic: list[bytes], ordinary: list[bytes]) -> Model:
     data, offsets = packed(ordinary)
     start, length, _ = windows(data, offsets)
     raw = data.tobytes()
-    pick = random.Random(1).sample(range(len(start)), min(len(start), 50_000))
     content = toxic_dictionary(toxic, ordinary, TOXIC_BYTES) or dictionary(toxic, TOXIC_BYTES)
-    model = Model(dictionary([raw[start[i] : start[i] + length[i]] for i in pick], ORDINARY_BYTES), content, None)
+    model = Model(dictionary([raw[s : s + n] for s, n in zip(start.tolist(), length.tolist(), strict=True)], ORDINARY_BYTES), content, None)
     x = np.concatenate([model.features(*packed(toxic)), model.features(*packed(ordinary))])
     y = np.concatenate([np.ones(len(toxic)), np.zeros(len(ordinary))])
     centre, spread = x.mean(0), x.std(0) + 1e-9

@@ -95,6 +95,14 @@ def test_toxic_words_that_follow_one_word_are_learnt():
     assert (model.scores(model.features(*toxicity.packed(plain[500:]))) >= 0.7).mean() < 0.1
 
 
+def test_all_ordinary_windows_are_trained_on(monkeypatch):
+    plain = [" ".join(f"w{i}x{k}" for k in range(800)).encode() for i in range(600)]
+    given = []
+    monkeypatch.setattr(toxicity, "dictionary", lambda samples, size: given.append(samples) or b"some words of a dictionary")
+    toxicity.fit([b"vilegrunt " * 20], plain)
+    assert max(len(x) for x in given) == 600 * 100
+
+
 def test_labels_of_held_out_rows_are_not_learnt(spark):
     docs, labels, _ = made_corpus(spark, 300)
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
