@@ -1,11 +1,12 @@
 """Operator 1: near-duplicate documents by weighted MinHash (improved consistent weighted sampling) over TF-IDF shingles.
 
-1. Document frequencies. Only shingles in at least ``floor`` of all documents differ in weight from rare ones. They are
-   found exactly in two narrow passes: counts of all shingles in a fixed number of hashed counters, added up over
-   the tasks, leave few candidates; these are counted one by one. The table has at most (mean distinct shingles of a
-   document) / ``floor`` rows, at any size of the corpus, and is sent along with tasks.
-2. Samples. Each document gets a fingerprint of its words, and ``bands`` hashes of ``rows`` weighted samples each.
-   Documents of one fingerprint become one node, whatever their number.
+1. Document frequencies are exact for all shingles. Those in at least ``COMMON`` of all documents are found in two
+   narrow passes: counts of all shingles in a fixed number of hashed counters, added up over the tasks, leave few
+   candidates; these are counted one by one. Their table has at most (mean distinct shingles of a document) / ``COMMON``
+   rows, at any size of the corpus, and is sent along with tasks. All others are counted by a shuffle by shingle, in
+   which no shingle has more rows than that share; the frequencies over 1 go back to the texts.
+2. Samples. Documents of one fingerprint of words become one node, whatever their number. Each node gets ``bands``
+   hashes of ``rows`` weighted samples each.
 3. Buckets. Nodes that share a band's hash are candidates. A first round compares every node with one leader of each of
    its buckets (that with most copies), the next with the others of its bucket, or, in buckets of more than ``wide``
    nodes, of a random part of about ``FEW``; only pairs of different classes are compared. So a round costs a bounded
@@ -36,21 +37,22 @@ from pyspark.sql import functions as F
 from . import shingles as sh
 from .common import documents, slices, split_count, stored
 
-SIMILARITY, BANDS, ROWS, FLOOR = 0.8, 16, 4, 0.1
-COUNTERS, CHUNK = 1 << 16, 1 << 12
+SIMILARITY, BANDS, ROWS, FLOOR = 0.8, 16, 4, 0.0
+COMMON = 0.002  # share of documents from which a shingle's frequency is sent along with tasks
+COUNTERS, CHUNK, SHIFT = 1 << 20, 1 << 12, 44
 FEW = 3
 
 
-def frequent(texts: DataFrame, total: int, floor: float = FLOOR, size: int = sh.SIZE) -> sh.Weights:
-    """Weights by document frequencies over all of ``texts`` (one column); ``total``: its rows."""
-    least = max(2.0, floor * total)
+def frequent(texts: DataFrame, total: int, floor: float = FLOOR, size: int = sh.SIZE, common: float = COMMON) -> sh.Weights:
+    """Weights with the frequencies of common shingles over all of ``texts`` (one column); ``total``: its rows."""
+    least = max(2.0, common * total)
 
     def count(batches):
         held = np.zeros(COUNTERS, np.int32)
         for batch in batches:
             for _, _, data, offsets in slices(batch.column(0)):
                 h, _, _, _ = sh.shingles(data, offsets, size)
-                held += np.bincount((h >> np.uint64(48)).astype(np.int64), minlength=COUNTERS).astype(np.int32)
+                held += np.bincount((h >> np.uint64(SHIFT)).astype(np.int64), minlength=COUNTERS).astype(np.int32)
         for k, part in enumerate(held.reshape(-1, CHUNK)):
             at = np.flatnonzero(part)
             if len(at):
@@ -78,7 +80,7 @@ def frequent(texts: DataFrame, total: int, floor: float = FLOOR, size: int = sh.
             found = []
             for _, _, data, offsets in slices(batch.column(0)):
                 h, _, _, _ = sh.shingles(data, offsets, size)
-                found.append(h[open_[(h >> np.uint64(48)).astype(np.int64)]])
+                found.append(h[open_[(h >> np.uint64(SHIFT)).astype(np.int64)]])
             if found:
                 h, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
@@ -87,14 +89,14 @@ def frequent(texts: DataFrame, total: int, floor: float = FLOOR, size: int = sh.
     return sh.Weights(total, floor, np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.float64))
 
 
-def signatures(docs: DataFrame, weights: sh.Weights, bands: int, rows: int, size: int) -> DataFrame:
-    """(_doc, _row, node, bands): ``bands`` is null where a task has sent those of the same node before."""
+def nodes_of(docs: DataFrame, size: int) -> DataFrame:
+    """(_doc, _row, node, _text): ``_text`` is null where a task has sent one of the same node before."""
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
             for first, end, data, offsets in slices(batch.column(2)):
-                h, n, cut, node = sh.shingles(data, offsets, size)
+                _, _, cut, node = sh.shingles(data, offsets, size)
                 some = np.diff(cut) > 0
                 fresh = some.copy()
                 for i, x in enumerate(node.tolist()):
@@ -103,32 +105,71 @@ def signatures(docs: DataFrame, weights: sh.Weights, bands: int, rows: int, size
                         seen.add(x)
                 if len(seen) > 500_000:
                     seen.clear()
-                pick = np.repeat(fresh, np.diff(cut))
-                kept = np.concatenate([[0], np.cumsum(np.where(fresh, np.diff(cut), 0))])
-                own = np.flatnonzero(fresh)
-                made = sh.weighted_samples(h[pick], weights.of(h[pick], n[pick]), np.append(kept[own], kept[-1]), bands, rows) if len(own) else np.zeros((0, bands), np.uint64)
-                lists = pa.ListArray.from_arrays(pa.array(np.append(np.cumsum(fresh) - fresh, fresh.sum()) * bands, pa.int32()), pa.array(made.ravel().view(np.int64)))
-                lists = pa.array([None]).cast(lists.type).take(pa.array(np.zeros(end - first, np.int32))) if not len(own) else pa.compute.if_else(pa.array(fresh), lists, pa.scalar(None, lists.type))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), batch.column(1).slice(first, end - first), pa.array(node.view(np.int64), mask=~some), lists], names=["_doc", "_row", "node", "bands"])
+                part = batch.slice(first, end - first)
+                texts = part.column(2).take(pa.array(np.arange(end - first), mask=~fresh))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(node.view(np.int64), mask=~some), texts], names=["_doc", "_row", "node", "_text"])
 
-    return docs.select("_doc", "_row", "_text").mapInArrow(run, "_doc bigint, _row bigint, node bigint, bands array<bigint>")
+    return docs.select("_doc", "_row", "_text").mapInArrow(run, "_doc bigint, _row bigint, node bigint, _text string")
+
+
+def with_frequencies(nodes: DataFrame, weights: sh.Weights, size: int) -> DataFrame:
+    """(node, _text, xs, dfs): the shingles of each text that are not common but in two or more documents."""
+
+    def run(batches):
+        for batch in batches:
+            for first, _, data, offsets in slices(batch.column(2)):
+                h, _, cut, _ = sh.shingles(data, offsets, size)
+                rare = ~weights.common(h)[0]
+                rows = pa.array((first + np.repeat(np.arange(len(cut) - 1), np.diff(cut)))[rare])
+                yield pa.RecordBatch.from_arrays([pa.array(h[rare].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows)], names=["x", "node", "copies"])
+
+    rows = nodes.select("node", "copies", "_text").mapInArrow(run, "x bigint, node bigint, copies bigint")
+    counted = rows.withColumn("df", F.sum("copies").over(W.partitionBy("x"))).filter("df > 1")
+    lists = counted.groupBy("node").agg(F.collect_list(F.struct("x", "df")).alias("l")).select("node", F.col("l.x").alias("xs"), F.col("l.df").alias("dfs"))
+    return nodes.select("node", "_text").join(lists, "node", "left")
+
+
+def weighed(weights: sh.Weights, size: int, texts: pa.Array, xs: pa.Array, dfs: pa.Array):
+    """(first row, hashes, weights, offsets) of each slice of ``texts``."""
+    for first, end, data, offsets in slices(texts):
+        h, n, cut, _ = sh.shingles(data, offsets, size)
+        df = np.ones(len(h))
+        own_x, own_df = xs.slice(first, end - first), dfs.slice(first, end - first)
+        each = pa.compute.fill_null(pa.compute.list_value_length(own_x), 0).to_numpy(zero_copy_only=False)
+        x, f = own_x.flatten().to_numpy().view(np.uint64), own_df.flatten().to_numpy()
+        upto = np.cumsum(each)
+        for i in np.flatnonzero(each).tolist():
+            mine = slice(upto[i] - each[i], upto[i])
+            df[cut[i] + np.searchsorted(h[cut[i] : cut[i + 1]], x[mine])] = f[mine]
+        yield first, h, weights.of(h, n, df), cut
+
+
+def signatures(texts: DataFrame, weights: sh.Weights, bands: int, rows: int, size: int) -> DataFrame:
+    """(node, bands) of ``texts`` with their frequencies."""
+
+    def run(batches):
+        for batch in batches:
+            for first, h, w, cut in weighed(weights, size, *batch.columns[1:]):
+                made = sh.weighted_samples(h, w, cut, bands, rows)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(cut)) * bands, pa.int32()), pa.array(made.ravel().view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(cut) - 1), lists], names=["node", "bands"])
+
+    return texts.select("node", "_text", "xs", "dfs").mapInArrow(run, "node bigint, bands array<bigint>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, weights: sh.Weights, similarity: float, size: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose texts are at least that similar."""
-    one = pairs.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("_one")), "a")
-    both = one.join(texts.select(F.col("node").alias("b"), F.col("_text").alias("_two")), "b").select("a", "b", "_one", "_two")
+    one, two = (texts.select(F.col("node").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("_text", "xs", "dfs"))) for k in "ab")
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", *(f"{c}_{k}" for k in "ab" for c in ("_text", "xs", "dfs")))
 
     def run(batches):
-        def vectors(column):
-            for _, _, data, offsets in slices(column):
-                h, n, cut, _ = sh.shingles(data, offsets, size)
-                w = weights.of(h, n)
+        def vectors(*columns):
+            for _, h, w, cut in weighed(weights, size, *columns):
                 for s, e in zip(cut.tolist(), cut[1:].tolist(), strict=False):
                     yield h[s:e], w[s:e]
 
         for batch in batches:
-            good = np.fromiter((sh.jaccard(x, y) >= similarity for x, y in zip(vectors(batch.column(2)), vectors(batch.column(3)), strict=True)), bool, len(batch))
+            good = np.fromiter((sh.jaccard(x, y) >= similarity for x, y in zip(vectors(*batch.columns[2:5]), vectors(*batch.columns[5:8]), strict=True)), bool, len(batch))
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return both.mapInArrow(run, "a bigint, b bigint")
@@ -156,13 +197,11 @@ def prefix_pairs(members: DataFrame, texts: DataFrame, weights: sh.Weights, simi
     stands before x is not shared, so the shared weight is at most what is left from x on, in either text; similarity s
     needs s / (1 + s) of both texts' weight. ``reach`` is what a text has left from x on.
     """
-    joined = members.join(texts, "node").select("node", "label", "_text")
+    joined = members.join(texts, "node").select("node", "label", "_text", "xs", "dfs")
 
     def run(batches):
         for batch in batches:
-            for first, _, data, offsets in slices(batch.column(2)):
-                h, n, cut, _ = sh.shingles(data, offsets, size)
-                w = weights.of(h, n)
+            for first, h, w, cut in weighed(weights, size, *batch.columns[2:5]):
                 each = np.diff(cut)
                 sums = np.add.reduceat(np.append(w, 0.0), np.minimum(cut[:-1], len(w))) * (each > 0)
                 rows = pa.array(np.repeat(first + np.arange(len(each)), each))
@@ -197,14 +236,16 @@ def near_duplicates(
     docs = df.select(F.col(doc).cast("long").alias("_doc"), F.xxhash64(doc, text).alias("_row"), F.col(text).alias("_text"))
     texts = docs.select("_text")
     weights = frequent(texts, texts.count(), floor, size)
-    signed = stored(signatures(docs, weights, bands, rows, size), "signatures")
-    nodes = signed.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("_doc").isNull(), "_doc", "_row")).alias("_first"), F.count("*").alias("copies"), F.max("bands").alias("bands"))
-    entries = nodes.select("node", "copies", F.posexplode("bands").alias("band", "h"))
+    marked = nodes_of(docs, size)
+    signed = stored(marked.select("_doc", "_row", "node"), "nodes")
+    nodes = stored(marked.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("_doc").isNull(), "_doc", "_row")).alias("_first"), F.count("*").alias("copies"), F.max("_text").alias("_text")), "copies")
+    every = stored(with_frequencies(nodes, weights, size), "texts")
+    entries = signatures(every, weights, bands, rows, size).join(nodes.select("node", "copies"), "node").select("node", "copies", F.posexplode("bands").alias("band", "h"))
+    entries = stored(entries, "bands")
     # Buckets of two or more; a leader's name is its place in the order of most copies, then smallest node.
     shared = entries.groupBy("band", "h").agg(F.count("*").alias("members"), F.min(F.struct((-F.col("copies")).alias("c"), "node"))["node"].alias("leader")).filter("members > 1")
     entries = stored(entries.join(shared.select("band", "h", "leader"), ["band", "h"]).select("band", "h", "node", "leader"), "buckets")
-    wanted = entries.select("node").distinct().join(nodes, "node").select("node", F.col("_first._doc").alias("_d"), F.col("_first._row").alias("_r"))
-    own = stored(docs.join(wanted, (F.col("_row") == F.col("_r")) & F.col("_doc").eqNullSafe(F.col("_d"))).select("node", "_text").dropDuplicates(["node"]), "texts")
+    own = every.join(entries.select("node").distinct(), "node", "left_semi")
 
     pairs = entries.filter("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
     links = stored(verified(pairs, own, weights, similarity, size), "verified")

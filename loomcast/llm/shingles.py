@@ -83,25 +83,29 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SIZE) -> tuple[n
 
 
 class Weights:
-    """Term frequency times 1 + log10(N / document frequency), the latter at least ``floor`` of all documents.
+    """Term frequency times 1 + ln(N / document frequency), the latter at least ``floor`` of all documents.
 
-    Only shingles in more than that share of documents need a row: there are at most (mean distinct shingles of a
-    document) / floor of them, however large the corpus.
+    ``keys`` are the shingles whose frequencies are sent along with tasks. Those of others come with each text; without
+    one, a shingle is of a single document.
     """
 
     def __init__(self, total: int, floor: float, keys: np.ndarray, frequencies: np.ndarray):
         order = np.argsort(keys)
-        self.keys = keys[order]
-        self.common = (1 + np.log10(max(total, 1) / np.maximum(frequencies[order], 1))).astype(np.float64)
-        self.rare = 1 + np.log10(1 / floor)
-
-    def of(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashes), self.rare)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-            hit = self.keys[at] == hashes
-            out[hit] = np.minimum(self.common[at[hit]], self.rare)
-        return out * counts
+        self.total, self.least = max(total, 1), max(1.0, floor * total)
+        self.keys, self.frequencies = keys[order], frequencies[order]
+
+    def common(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``hashes`` are among the keys, and the place of each there."""
+        if not len(self.keys):
+            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return self.keys[at] == hashes, at
+
+    def of(self, hashes: np.ndarray, counts: np.ndarray, frequencies: np.ndarray | None = None) -> np.ndarray:
+        df = np.ones(len(hashes)) if frequencies is None else frequencies.astype(np.float64)
+        hit, at = self.common(hashes)
+        df[hit] = self.frequencies[at[hit]]
+        return (1 + np.log(self.total / np.clip(df, self.least, self.total))) * counts
 
 
 def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
