@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import FeatureSpec, ForecastSpec
+from .config import FeatureSpec, ForecastSpec, all_features
 from .functions import columns as C
 from .operators import baselines, billing, cleaning, encoding, features, hurdle, metrics, profile, splits
 from .plans.forecast import forecast_graph
@@ -125,17 +125,13 @@ def final_predictions(spark: SparkSession, d: str) -> DataFrame:
     return hurdle.final_predictions(filled, THRESHOLD)
 
 
-MODEL_FEATURES = ["lag_1", "lag_52", "roll_mean_4", "roll_mean_13", "roll_mean_52", "zero_rate_52", "pair_mean", "num_sem"]
-
-
-def hurdle_gbt(spark: SparkSession, d: str) -> DataFrame:
-    """Both stages trained, the threshold tuned on validation, weeks to predict scored."""
-    s = FeatureSpec(lags=(1, 52), means=(4, 13, 52))
-    made = features.lag_columns(s) | features.rolling_columns(s) | features.zero_rate_columns() | {"pair_mean": features.pair_columns()["pair_mean"]}
-    rows = features.with_target(panel(spark, d)).withColumns(made)
+def hurdle_gbt(spark: SparkSession, d: str, spec: hurdle.HurdleSpec = hurdle.HurdleSpec()) -> DataFrame:
+    """Both stages trained on all features of the feature table, the threshold tuned on validation, weeks to predict scored."""
+    # Boosting reads its rows many times over; the feature table is computed once.
+    rows = graph(d).plan(spark, "gold_feature_table").persist()
     known = rows.filter("quantite is not null")
     train, val = splits.train_rows(known, D.SPLITS), splits.validation_rows(known, D.SPLITS)
-    model = hurdle.train_hurdle(train, val, MODEL_FEATURES, hurdle.HurdleSpec(zero_rounds=5, quantity_rounds=5))
+    model = hurdle.train_hurdle(train, val, all_features(), spec)
     best = metrics.best_threshold(metrics.threshold_sweep(model.score(val))).first()["threshold"]
     return hurdle.final_predictions(model.score(hurdle.impute_short_horizon(splits.test_rows(rows, D.SPLITS))), best)
 

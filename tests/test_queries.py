@@ -57,3 +57,19 @@ def test_entry_imports_without_the_training_data_operators(tmp_path):
     (tmp_path / "__spark_entry__.py").write_text((root / "__spark_entry__.py").read_text())
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert 'gold_features' in q and not any(n.startswith('op') for n in q); print(len(q), len(s))"], cwd=tmp_path, capture_output=True, text=True)
     assert said.returncode == 0, said.stderr
+
+
+def test_the_model_query_trains_on_all_features_with_the_default_budget(spark, monkeypatch):
+    from loomcast import queries
+    from loomcast.config import all_features
+
+    class Seen(Exception):
+        pass
+
+    def seen(train, validation, names, spec):
+        raise Seen(names, spec, set(names) - set(train.columns))
+
+    monkeypatch.setattr(queries.hurdle, "train_hurdle", seen)
+    with pytest.raises(Seen) as found:
+        QUERIES["hurdle_gbt"](spark, FOLDER)
+    assert found.value.args == (all_features(), queries.hurdle.HurdleSpec(), set())
