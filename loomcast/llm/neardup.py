@@ -279,11 +279,16 @@ def one_of_each(df: DataFrame, doc: str = "doc_id", text: str = "text", **option
     """The rows of ``df`` without near-duplicates: of each class the row of smallest doc_id, all rows without words."""
     found = near_duplicates(df, doc=doc, text=text, **options)
     first = found.filter("label is not null").groupBy("label").agg(F.min(F.struct(F.col(doc).isNull().alias("n"), F.col(doc).cast("long").alias("d"), "_row")).alias("_k")).select("_k.d", "_k._row")
-    kept = first.unionByName(found.filter("label is null").select(F.col(doc).alias("d"), "_row").distinct())
+    wordless = found.filter("label is null").select(F.col(doc).alias("d"), "_row").distinct()
     keyed = df.withColumn("_row", F.xxhash64(doc, text))
-    stay = keyed.join(kept.withColumnRenamed("_row", "_r"), (F.col("_row") == F.col("_r")) & F.col(doc).eqNullSafe(F.col("d")), "left_semi")
+
+    def of(keys):
+        return keyed.join(keys.withColumnRenamed("_row", "_r"), (F.col("_row") == F.col("_r")) & F.col(doc).eqNullSafe(F.col("d")), "left_semi")
+
     if found.filter("label is not null").groupBy(doc, "_row").count().filter("count > 1").limit(1).count():
-        stay = stay.filter(F.length(F.coalesce(text, F.lit(""))) > 0).dropDuplicates([doc, "_row"]).unionByName(stay.filter(F.length(F.coalesce(text, F.lit(""))) == 0))
+        stay = of(first).dropDuplicates([doc, "_row"]).unionByName(of(wordless))
+    else:
+        stay = of(first.unionByName(wordless))
     return stay.drop("_row")
 
 

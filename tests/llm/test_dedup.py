@@ -98,6 +98,11 @@ def test_one_of_each_stays(spark):
     assert neardup.near_duplicates(frame(spark, rows).filter("false")).count() == 0
 
 
+def test_repeated_rows_without_words_stay(spark):
+    rows = [(1, "..."), (1, "..."), (2, "one two three"), (2, "one two three"), (3, " "), (3, " ")]
+    assert sorted(r["doc_id"] for r in neardup.one_of_each(frame(spark, rows)).collect()) == [1, 1, 2, 3, 3]
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(3)
     base = np.sort(rng.integers(1, 1 << 62, 300, np.uint64))
