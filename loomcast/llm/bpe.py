@@ -4,14 +4,19 @@
 64-bit words mark the buckets that have entries, so that find-first-set on three words gives the lowest rank. Entries
 are never removed when a merge makes them invalid; they are skipped when their bucket comes up (the pair that now starts
 at the position has another rank). All pre-tokens of a batch share the queue: merges of different pre-tokens don't
-touch, so that a bucket is merged with array operations over all of them, leftmost first where pairs overlap. The work is
-linear in bytes plus merges, also for a pre-token of megabytes.
+touch, so that a bucket is merged with array operations over all of them, leftmost first where pairs overlap. A merge may
+make a pair of lower rank than its own, which then comes before the pre-token's other pairs of the bucket. These wait if
+the pre-token is short; a longer one (over ``LONG`` bytes) goes on by itself, one merge at a time, through a queue of the same kind
+whose buckets are heaps of positions (:func:`merge_one`). So the work grows with bytes and merges, times a logarithm at
+most, also for a pre-token of megabytes.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +24,9 @@ import pyarrow as pa
 from .common import ranges, text_bytes
 from .pretokens import pieces
 
+#: Bytes of a pre-token from which it is merged by itself once a merge has made a pair of lower rank.
+LONG = 64
+
 
 class Ranks:
     """A vocabulary by rank: the rank of a token is its id, and a pair's rank is that of its concatenation."""
@@ -45,8 +53,14 @@ class Ranks:
         small = self.byte[:, None].astype(np.int64) * self.size + self.byte[None, :]
         self.byte_pair = self.pair(small.ravel()).reshape(256, 256)
 
+    def pair_rank(self, key: int) -> int:
+        """Rank of one pair ``left * size + right``; -1 if it has none."""
+        return self.rank.get(self.tokens[key // self.size] + self.tokens[key % self.size], -1)
+
     def pair(self, keys: np.ndarray) -> np.ndarray:
         """Rank of each pair ``left * size + right``; -1 where it has none."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int32)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.values[at], np.int32(-1))
 
@@ -62,14 +76,25 @@ def ranks_of(path: str) -> Ranks:
 
 
 class RankQueue:
-    """Buckets of positions by rank, with a three-level bitmap over the buckets."""
+    """Buckets by rank, with a three-level bitmap over the buckets."""
 
     def __init__(self):
-        self.buckets: dict[int, list[np.ndarray]] = {}
+        self.buckets: dict[int, list] = {}
         self.low: dict[int, int] = {}
         self.mid: dict[int, int] = {}
         self.top = 0
 
+    def bucket(self, r: int) -> list:
+        """The bucket of rank ``r``, opened if it is not there."""
+        found = self.buckets.get(r)
+        if found is None:
+            found = self.buckets[r] = []
+            word, block = r >> 6, r >> 12
+            self.low[word] = self.low.get(word, 0) | 1 << (r & 63)
+            self.mid[block] = self.mid.get(block, 0) | 1 << (word & 63)
+            self.top |= 1 << block
+        return found
+
     def push(self, positions: np.ndarray, ranks: np.ndarray) -> None:
         if not len(positions):
             return
@@ -78,32 +103,66 @@ class RankQueue:
         cut = np.flatnonzero(np.diff(ranks)) + 1
         edges = [0, *cut.tolist(), len(ranks)]
         for r, a, b in zip(ranks[edges[:-1]].tolist(), edges, edges[1:], strict=False):
-            bucket = self.buckets.get(r)
-            if bucket is None:
-                self.buckets[r] = [positions[a:b]]
-                word, block = r >> 6, r >> 12
-                self.low[word] = self.low.get(word, 0) | 1 << (r & 63)
-                self.mid[block] = self.mid.get(block, 0) | 1 << (word & 63)
-                self.top |= 1 << block
-            else:
-                bucket.append(positions[a:b])
+            self.bucket(r).append(positions[a:b])
 
-    def pop(self) -> tuple[int, np.ndarray] | None:
-        """The lowest rank that has entries, and these."""
+    def lowest(self) -> int | None:
+        """The lowest rank that has a bucket."""
         if not self.top:
             return None
         block = (self.top & -self.top).bit_length() - 1
         bits = self.mid[block]
         word = block << 6 | (bits & -bits).bit_length() - 1
         bits = self.low[word]
-        r = word << 6 | (bits & -bits).bit_length() - 1
-        self.low[word] = bits = bits & (bits - 1)
-        if not bits:
-            self.mid[block] = bits = self.mid[block] & ~(1 << (word & 63))
-            if not bits:
+        return word << 6 | (bits & -bits).bit_length() - 1
+
+    def close(self, r: int) -> list:
+        """Takes the bucket of rank ``r`` out."""
+        word, block = r >> 6, r >> 12
+        self.low[word] &= ~(1 << (r & 63))
+        if not self.low[word]:
+            self.mid[block] &= ~(1 << (word & 63))
+            if not self.mid[block]:
                 self.top &= ~(1 << block)
-        found = self.buckets.pop(r)
-        return r, found[0] if len(found) == 1 else np.concatenate(found)
+        return self.buckets.pop(r)
+
+
+def merge_one(ranks: Ranks, symbol: list[int], pair: list[int]) -> list[int]:
+    """The tokens of one pre-token, merged pair by pair: lowest rank first, then leftmost. ``pair``: rank of the pair that
+    starts at each symbol, -1 where it has none."""
+    n, size, find = len(symbol), ranks.size, ranks.pair_rank
+    after, before = [*range(1, n), -1], list(range(-1, n - 1))
+    queue = RankQueue()
+    for i, r in enumerate(pair):
+        if r >= 0:
+            queue.bucket(r).append(i)  # ascending, so that each bucket is a heap
+    while (r := queue.lowest()) is not None:
+        heap = queue.buckets[r]
+        while heap:
+            i = heapq.heappop(heap)
+            if pair[i] != r:
+                continue  # stale
+            gone = after[i]
+            then, prior = after[gone], before[i]
+            symbol[i], symbol[gone], pair[gone] = r, -1, -1
+            after[i] = then
+            pair[i] = -1 if then < 0 else find(r * size + symbol[then])
+            if then >= 0:
+                before[then] = i
+            lower = False
+            for k in (i, prior):
+                if k == prior:
+                    if prior < 0:
+                        break
+                    pair[k] = find(symbol[k] * size + r)
+                new = pair[k]
+                if new >= 0:
+                    heapq.heappush(queue.bucket(new), k)
+                    lower |= new < r
+            if lower:
+                break
+        if not heap:
+            queue.close(r)
+    return [s for s in symbol if s >= 0]
 
 
 def merge_all(ranks: Ranks, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,24 +180,64 @@ def merge_all(ranks: Ranks, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     queue = RankQueue()
     first = np.flatnonzero(pair >= 0)
     queue.push(first, pair[first])
-    while (got := queue.pop()) is not None:
-        r, at = got
+
+    def rank_of(left, right):
+        """Rank of each pair of symbols; none where either is missing (-1)."""
+        return np.where((left >= 0) & (right >= 0), ranks.pair(left.astype(np.int64) * ranks.size + right), np.int32(-1))
+
+    def before_lower(at, r):
+        """Those of ``at`` that are merged before a pair of lower rank comes up in their pre-token."""
+        gone = after[at]
+        prior = before[at]
+        # What stands to the left has been merged already if the pair before ends there.
+        merged = np.zeros(len(at), bool)
+        merged[1:] = gone[:-1] == prior[1:]
+        left = np.where(merged, r, np.where(prior >= 0, symbol[prior], -1))
+        right = np.where(after[gone] >= 0, symbol[after[gone]], -1)
+        made = np.stack([rank_of(left, np.full(len(at), r)), rank_of(np.full(len(at), r), right)])
+        lower = ((made >= 0) & (made < r)).any(0)
+        if not lower.any():
+            return at
+        own = np.searchsorted(offsets, at, "right") - 1
+        hit = np.flatnonzero(lower)
+        texts, one = np.unique(own[hit], return_index=True)
+        stop = np.full(len(offsets), n, np.int64)  # of each pre-token: the leftmost merge that makes a lower pair
+        stop[texts] = at[hit[one]]
+        return at[at <= stop[own]]
+
+    while (r := queue.lowest()) is not None:
+        found = queue.close(r)
+        at = found[0] if len(found) == 1 else np.concatenate(found)
         at = at[pair[at] == r]  # the rest is stale
         if not len(at):
             continue
-        at = np.unique(at)
-        if r in ranks.early:  # the leftmost of each pre-token, the others wait
-            own = np.searchsorted(offsets, at, "right")
-            lead = np.ones(len(at), bool)
-            lead[1:] = own[1:] != own[:-1]
-            queue.push(at[~lead], pair[at[~lead]])
-            at = at[lead]
-        elif len(at) > 1:  # of pairs that overlap, every other one
+        every = at = np.unique(at)
+        if len(at) > 1:  # of pairs that overlap, every other one
             chained = np.zeros(len(at), bool)
             chained[1:] = after[at[:-1]] == at[1:]
             if chained.any():
                 k = np.arange(len(at))
                 at = at[((k - np.maximum.accumulate(np.where(chained, 0, k))) & 1) == 0]
+        if r in ranks.early:
+            now = before_lower(at, r)
+            if len(now) < len(at):
+                wait = np.setdiff1d(every, now, assume_unique=True)
+                own = np.searchsorted(offsets, wait, "right") - 1
+                long = np.unique(own[offsets[own + 1] - offsets[own] > LONG])
+                for k in long.tolist():
+                    a, b = int(offsets[k]), int(offsets[k + 1])
+                    live = a + np.flatnonzero(alive[a:b])
+                    ids = merge_one(ranks, symbol[live].tolist(), pair[live].tolist())
+                    alive[a:b], pair[a:b] = False, -1
+                    alive[a : a + len(ids)] = True
+                    symbol[a : a + len(ids)] = ids
+                at = now[pair[now] == r]
+                wait = wait[pair[wait] == r]
+                queue.push(wait, pair[wait])
+                if not len(at):
+                    continue
+            else:
+                at = now
         gone = after[at]
         then = after[gone]
         symbol[at] = r
@@ -160,68 +259,53 @@ def merge_all(ranks: Ranks, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
 
 
 class Memo:
-    """Ids of the pre-tokens met so far in this Python worker, in flat arrays found by two 64-bit hashes.
+    """Ids of the pre-tokens met so far in this Python worker, found by their bytes.
 
-    It only saves work: an entry that it lacks is encoded. At ``most`` entries it starts afresh, which bounds memory.
+    It only saves work: a pre-token that it lacks is encoded. One over ``longest`` bytes is not kept; at ``most`` pre-tokens
+    or four times as many ids it starts afresh. Both bound its memory, whatever the texts are like.
     """
 
-    def __init__(self, encode, most: int = 1_500_000):
-        self.encode, self.most = encode, most
-        self.mix = np.random.default_rng(7).integers(0, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1)
-        self.power = np.ones((2, 1), np.uint64)
+    def __init__(self, encode, most: int = 300_000, longest: int = 48):
+        self.encode, self.most, self.longest = encode, most, longest
         self.clear()
 
     def clear(self) -> None:
-        self.key = self.check = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
-
-    def hashes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        size = np.diff(offsets)
-        longest = int(size.max(initial=1))
-        if self.power.shape[1] < longest:
-            base = np.array([[0x9E3779B97F4A7C15], [0xC2B2AE3D27D4EB4F]], np.uint64)
-            self.power = np.concatenate([np.ones((2, 1), np.uint64), np.cumprod(np.repeat(base, longest, 1), 1, dtype=np.uint64)], 1)
-        offset = ranges(np.zeros(len(size), np.int64), size)
-        out = []
-        for k in (0, 1):
-            h = np.add.reduceat(self.mix[k][data] * self.power[k][offset], offsets[:-1]) + size.astype(np.uint64)
-            h ^= h >> np.uint64(29)
-            h *= np.uint64(0xBF58476D1CE4E5B9)
-            out.append(h ^ h >> np.uint64(32))
-        return out[0], out[1]
+        self.rows: dict[bytes, int] = {}
+        self.begin, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
+        self.flat, self.used = np.zeros(1 << 14, np.int32), 0
 
     def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(begin, length) in ``flat`` of each of the distinct non-empty ``words``."""
-        if len(self.key) > self.most:
+        """(begin, length) in ``flat`` of each of the distinct non-empty ``words``; good until the next call."""
+        if len(self.rows) > self.most or self.used > 4 * self.most:
             self.clear()
+        elif len(self.flat) > 16 * self.most:  # what a very long pre-token took
+            self.flat = self.flat[: 4 * self.most].copy()
         data, offsets = text_bytes(words)
-        key, check = self.hashes(data, offsets)
-        at = np.minimum(np.searchsorted(self.key, key), max(len(self.key) - 1, 0))
-        hit = (self.key[at] == key) & (self.check[at] == check) if len(self.key) else np.zeros(len(key), bool)
-        begin, length = np.zeros(len(key), np.int64), np.zeros(len(key), np.int32)
-        begin[hit], length[hit] = self.begin[self.at[at[hit]]], self.length[self.at[at[hit]]]
-        miss = np.flatnonzero(~hit)
+        names = words.to_pylist()
+        row = np.fromiter(map(self.rows.get, names, repeat(-1)), np.int64, len(names))
+        begin, length = self.begin[row], self.length[row]
+        miss = np.flatnonzero(row < 0)
         if len(miss):
             size = offsets[miss + 1] - offsets[miss]
+            short_first = np.argsort(size > self.longest, kind="stable")
+            miss, size = miss[short_first], size[short_first]
             ids, cut = self.encode(data[ranges(offsets[miss], size)], np.concatenate([[0], np.cumsum(size)]))
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.int32)])
+            self.flat = self.room(self.flat, self.used + len(ids))
             self.flat[self.used : self.used + len(ids)] = ids
             begin[miss], length[miss] = self.used + cut[:-1], np.diff(cut)
-            self.used += len(ids)
-            rows = len(self.begin) + np.arange(len(miss))
-            self.begin, self.length = np.append(self.begin, begin[miss]), np.append(self.length, length[miss])
-            new, one = np.unique(key[miss], return_index=True)
-            fresh = ~np.isin(new, self.key, assume_unique=True)
-            new, one = new[fresh], one[fresh]
-            where = np.searchsorted(self.key, new)
-            self.key = np.insert(self.key, where, new)
-            self.check = np.insert(self.check, where, check[miss[one]])
-            self.at = np.insert(self.at, where, rows[one])
+            kept = miss[: int((size <= self.longest).sum())]
+            first = len(self.rows)
+            self.begin, self.length = self.room(self.begin, first + len(kept)), self.room(self.length, first + len(kept))
+            self.begin[first : first + len(kept)], self.length[first : first + len(kept)] = begin[kept], length[kept]
+            self.rows.update(zip([names[i] for i in kept.tolist()], range(first, first + len(kept)), strict=True))
+            self.used += min(int(cut[len(kept)]), len(ids))
         return begin, length
 
+    @staticmethod
+    def room(array: np.ndarray, n: int) -> np.ndarray:
+        """``array`` with room for ``n``."""
+        return array if n <= len(array) else np.concatenate([array, np.zeros(max(len(array), n - len(array)), array.dtype)])
+
     def ids(self, data: np.ndarray, offsets: np.ndarray, split=pieces) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts, concatenated, and their n + 1 offsets."""
         words, bounds = split(data, offsets)
