@@ -9,7 +9,8 @@ a bitmap of the kept ones, compressed to the 32-line words that aren't all ones.
 
 Defined cases: a null or empty text is one empty line. A key under ``shortest`` code points is never dropped. A null
 doc_id sorts after all others. Rows that share a doc_id are one document here: neither makes the other lose lines.
-Repeated rows come back repeated. Extra columns are not read.
+Repeated rows come back repeated. Extra columns pass through. A very long text costs work in proportion to its bytes and
+lines, and one row's memory, as does a document of very many lines.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from .common import documents, split_count
 from .decontaminate import ascii_lower
 
 SHORTEST, SALTS = 10, 64
+ONES = (1 << 32) - 1
 
 
 def lines_of(text: Column) -> Column:
@@ -59,26 +61,35 @@ def keep_bitmaps(docs: DataFrame, **options) -> DataFrame:
     ``keep`` maps the number of a 32-line word to its bits (bit i: line 32 * word + i stays); words all ones are left out.
     """
     drops = dropped_lines(docs, **options).repartition("_row", "_row2")
-    ones = (1 << 32) - 1
     words = drops.groupBy("_row", "_row2", F.expr("pos div 32").cast("int").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 32)")).alias("_bits"))
     return words.groupBy("_row", "_row2").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("_word", (F.lit(ones) - F.col("_bits")).alias("keep"))))).alias("keep"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("_word", (F.lit(ONES) - F.col("_bits")).alias("keep"))))).alias("keep"),
         F.sum(F.bit_count("_bits")).cast("long").alias("n_dropped"),
     )
 
 
 def kept_text(text: Column, keep: Column) -> Column:
-    """The text's kept lines joined again; the text itself where ``keep`` is null."""
-    stays = lambda i: F.coalesce(F.getbit(F.try_element_at(keep, F.floor(i / 32).cast("int")), i % 32), F.lit(1).cast("byte")) == 1
-    return F.when(keep.isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(F.filter(lines_of(text), lambda x, i: stays(i)), "\n"))
+    """The text's kept lines joined again; the text itself where ``keep`` is null.
+
+    The bitmap is spread to one word for every 32 lines up to its last, once a text, so that each line costs one look.
+    """
+    entries = F.map_entries(keep)
+    before = lambda known, i: F.when(i == 0, F.lit(-1)).otherwise(F.get(known, i - 1)["key"])
+    spread = lambda known: F.flatten(F.transform(known, lambda e, i: F.concat(F.array_repeat(F.lit(ONES), e["key"] - before(known, i) - 1), F.array(e["value"]))))
+    stays = lambda words, i: F.getbit(F.coalesce(F.get(words, F.floor(i / 32).cast("int")), F.lit(ONES)), i % 32) == 1
+    # One-element arrays bind what is used many times: the entries, then the words.
+    words = F.transform(F.array(entries), spread)
+    kept = F.transform(words, lambda w: F.array_join(F.filter(lines_of(text), lambda x, i: stays(w, i)), "\n"))
+    return F.when(keep.isNull(), F.coalesce(text, F.lit(""))).otherwise(F.get(kept, 0))
 
 
 def with_bitmaps(docs: DataFrame, doc: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with ``keep`` (null: all lines stay) and ``n_dropped``."""
-    docs = docs.drop("keep", "n_dropped")
+    """``docs`` with ``keep`` (null: all lines stay) and ``n_dropped``; columns of these names are replaced, all others pass through."""
+    others = [c for c in docs.columns if c not in ("keep", "n_dropped")]
     marks = keep_bitmaps(docs, doc=doc, text=text, **options)
-    keyed = docs.withColumns({"_row": F.xxhash64(doc, text), "_row2": F.xxhash64(F.lit(1), F.col(doc), F.col(text))})
-    return keyed.join(marks, ["_row", "_row2"], "left").drop("_row", "_row2").withColumn("n_dropped", F.coalesce("n_dropped", F.lit(0).cast("long")))
+    keyed = docs.select(F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others))).alias("_kept"), F.xxhash64(doc, text).alias("_row"), F.xxhash64(F.lit(1), F.col(doc), F.col(text)).alias("_row2"))
+    joined = keyed.join(marks, ["_row", "_row2"], "left")
+    return joined.select(*(F.col(f"_kept.c{i}").alias(c) for i, c in enumerate(others)), "keep", F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
