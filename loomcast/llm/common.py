@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,24 +20,38 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that all executors share (``spark.checkpoint.dir``).
 
-    Where that setting is absent (tests in local mode), a temporary folder of this machine is set.
+    Where that setting is absent, local masters (tests) use a temporary folder of this machine; any other master raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         found = spark.sparkContext.getCheckpointDir()
         if found is None:
+            if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loomcast-"))
             found = spark.sparkContext.getCheckpointDir()
         base = found
     return f"{base.rstrip('/')}/loomcast/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and lost executors cost nothing."""
     path = scratch(df.sparkSession, name)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    read._scratch = path
+    return read
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of :func:`stored` tables that nothing reads any more. The others stay until the folder is cleared."""
+    for table in tables:
+        delete(table.sparkSession, table._scratch)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def split_count(spark: SparkSession) -> int:

@@ -10,7 +10,7 @@ row alone, never on order of arrival, so that a lost executor's work is repeated
 
 Defined cases: a null text has no bytes (size 1, crc 0) and stays null; a null doc_id hashes like a key of its own.
 Rows that share a doc_id share a shard and are spread over its buckets by text; rows alike in both have neighbouring
-buckets' odds but distinct slots. An empty table gives an empty result. Extra columns pass through; those named like an
+buckets' odds but distinct slots. A very long text makes its bucket as much larger. An empty table gives an empty result. Extra columns pass through; those named like an
 added column are replaced.
 """
 
@@ -21,11 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import documents, scratch
+from .common import documents, scratch, split_count
 
 SHARDS, SEED, BUCKET_BYTES = 8, 20240607, 32 << 20
+MOST_TASKS = 100_000
+ADDED = ("shard", "grown_shard", "bucket", "slot")
 
 
 def jump_column(key: Column, shards: int) -> Column:
@@ -48,33 +49,34 @@ def bucketed(df: DataFrame, shards: int, buckets: int, doc: str = "doc_id", text
 
 def shard(df: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTES, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``df`` and ``shard``, ``grown_shard``, ``bucket``, ``slot``, in shuffled order within each bucket."""
-    df = df.drop("shard", "grown_shard", "bucket", "slot")
+    names = [c for c in df.columns if c not in ADDED]
     total = df.agg(F.sum(F.octet_length(text) + 64)).first()[0] or 0
     buckets = max(1, -(-total // (shards * bucket_bytes)))
-    placed = bucketed(df, shards, buckets, doc, text)
+    # Columns passed on travel as one, so that their names don't matter here.
+    row = F.struct(F.lit(0).alias("_"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(names))).alias("row")
+    order = F.xxhash64(F.lit(SEED + 2), F.col(doc), F.col(text)).alias("order")
+    placed = bucketed(df.select(row, order, F.col(doc).alias("doc"), F.col(text).alias("text")), shards, buckets, "doc", "text").drop("doc", "text")
     sizes = placed.groupBy("shard", "bucket").agg(F.count("*").alias("rows"))
     first = F.coalesce(F.sum("rows").over(W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    begins = sizes.select("bucket", first.alias("slot"))
-    joined = placed.join(begins, "bucket")
-    schema = T.StructType([f for f in joined.select(*df.columns, "shard", "grown_shard", "bucket", "slot").schema])
+    # As many tasks as buckets, within what a driver can plan: the number follows the bytes, and a task shuffles a bucket at a time.
+    tasks = max(split_count(df.sparkSession), min(shards * buckets, MOST_TASKS))
+    joined = placed.repartition(tasks, "bucket").join(sizes.select("bucket", first.alias("slot")), "bucket").select("row", "order", *ADDED)
+    schema = joined.drop("order").schema
 
     def fisher_yates(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        keys = np.array(table.column("_order").to_numpy(), np.int64)
         bucket = int(table.column("bucket")[0].as_py())
-        order = np.argsort(keys, kind="stable")
-        rng = np.random.Generator(np.random.PCG64([SEED, bucket]))
-        for_last = rng.integers(0, np.arange(len(order), 0, -1)) if len(order) else []
-        seat = order.tolist()
-        for k, j in enumerate(for_last.tolist() if len(order) else []):
+        seat = np.argsort(table.column("order").to_numpy(), kind="stable").tolist()
+        draws = np.random.Generator(np.random.PCG64([SEED, bucket])).integers(0, np.arange(len(seat), 0, -1)).tolist()
+        for k, j in enumerate(draws):
             last = len(seat) - 1 - k
             seat[j], seat[last] = seat[last], seat[j]
-        out = table.take(pa.array(seat)).drop_columns(["_order"])
+        out = table.take(pa.array(seat)).drop_columns(["order"])
         slot = out.column("slot").to_numpy() + np.arange(len(seat))
         return out.set_column(out.schema.get_field_index("slot"), "slot", pa.array(slot, pa.int64())).select(schema.names)
 
-    ordered = joined.select(*df.columns, "shard", "grown_shard", "bucket", "slot", F.xxhash64(F.lit(SEED + 2), F.col(doc), F.col(text)).alias("_order"))
-    return ordered.groupBy("bucket").applyInArrow(fisher_yates, schema)
+    made = joined.groupBy("bucket").applyInArrow(fisher_yates, schema)
+    return made.select(*(F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)), *ADDED)
 
 
 def write_shards(df: DataFrame, path: str, **options) -> DataFrame:
