@@ -11,11 +11,13 @@ import numpy as np
 from .common import ranges
 
 SIZE = 5
-_TABLE = np.random.default_rng(23).integers(0, 1 << 63, 256, np.uint64)
-_TABLE[65:91] = _TABLE[97:123]
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: A random number for each byte at each of 64 places, twice: sums of these tell words apart but for chance, whatever the words are.
+_PLACES = 64
+_TABLES = np.random.default_rng(23).integers(0, 1 << 64, (2, _PLACES, 256), np.uint64)
+_TABLES[:, :, 65:91] = _TABLES[:, :, 97:123]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -25,11 +27,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word, and how many words precede each text (n + 1 counts)."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, independent: int = 1) -> tuple[list[np.ndarray], np.ndarray]:
+    """``independent`` (1 or 2) 64-bit hashes of each word, and how many words precede each text (n + 1 counts)."""
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return [np.zeros(0, np.uint64)] * independent, np.zeros(len(offsets), np.int64)
     word = _WORD[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
@@ -40,18 +42,37 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     start, end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
     size = end - start
     if not len(start):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return [np.zeros(0, np.uint64)] * independent, np.zeros(len(offsets), np.int64)
+    place = ranges(np.zeros(len(size), np.int64), size)
+    at = (place % _PLACES) * 256 + data[word]
+    first, out = np.cumsum(size) - size, []
+    far = np.flatnonzero(place >= _PLACES)  # the tables serve again for each 64 bytes, mixed with how many there were
     with np.errstate(over="ignore"):
-        power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(int(size.max()), _BASE), dtype=np.uint64)])
-        value = np.where(word, _TABLE[data], np.uint64(0))
-        offset = ranges(np.zeros(len(size), np.int64), size)
-        h = np.add.reduceat(value[word] * power[offset], np.cumsum(size) - size) + size.astype(np.uint64)
-    return mix(h), np.searchsorted(start, offsets)
+        for k in range(independent):
+            value = _TABLES[k].ravel()[at]
+            if len(far):
+                value[far] = mix(value[far] + (place[far] // _PLACES).astype(np.uint64) * _BASE)
+            out.append(mix(np.add.reduceat(value, first) + size.astype(np.uint64)))
+    return out, np.searchsorted(start, offsets)
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, counts, n + 1 offsets, fingerprint of the word sequence) of each text's distinct shingles, hashes ascending."""
-    words, bounds = word_hashes(data, offsets)
+def fingerprints(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for the sequence of words of each text (n x 16 bytes), and whether it has any."""
+    words, bounds = word_hashes(data, offsets, 2)
+    n = np.diff(bounds)
+    out, some = np.zeros((len(n), 2), np.uint64), n > 0
+    place = ranges(np.zeros(len(n), np.int64), n).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        for k, own in enumerate(words):
+            if len(own):
+                out[some, k] = np.add.reduceat(mix(own + (place + np.uint64(1)) * _BASE), bounds[:-1][some])
+            out[:, k] = mix(out[:, k] + n.astype(np.uint64))
+    return out.view(np.uint8).reshape(len(n), 16), some
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, counts, n + 1 offsets) of each text's distinct shingles, hashes ascending."""
+    (words,), bounds = word_hashes(data, offsets)
     n = np.diff(bounds)
     short = (n > 0) & (n < size)
     count = np.where(short, 1, np.maximum(n - size + 1, 0))
@@ -66,46 +87,18 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SIZE) -> tuple[n
                 s = s * _BASE + w
             h[bounds[i]] = s + np.uint64(n[i])
         all_ = mix(h[ranges(bounds[:-1], count)])
-        own = np.repeat(np.arange(len(n)), count)
-        # The words in order: each shingle's hash by its place, so that texts alike word for word agree.
-        place = ranges(np.zeros(len(count), np.int64), count).astype(np.uint64)
-        print_ = np.zeros(len(n), np.uint64)
-        some = count > 0
-        if len(all_):
-            print_[some] = np.add.reduceat(mix(all_ + place * _BASE), (np.cumsum(count) - count)[some])
-        print_ = mix(print_ + n.astype(np.uint64))
+    own = np.repeat(np.arange(len(n)), count)
     order = np.lexsort((all_, own))
     all_, own = all_[order], own[order]
     new = np.ones(len(all_), bool)
     new[1:] = (all_[1:] != all_[:-1]) | (own[1:] != own[:-1])
     first = np.flatnonzero(new)
-    return all_[first], np.diff(np.append(first, len(all_))), np.searchsorted(own[first], np.arange(len(n) + 1)), print_
-
-
-class Weights:
-    """Term frequency times 1 + ln(N / document frequency), the latter at least ``floor`` of all documents.
-
-    ``keys`` are the shingles whose frequencies are sent along with tasks. Those of others come with each text; without
-    one, a shingle is of a single document.
-    """
-
-    def __init__(self, total: int, floor: float, keys: np.ndarray, frequencies: np.ndarray):
-        order = np.argsort(keys)
-        self.total, self.least = max(total, 1), max(1.0, floor * total)
-        self.keys, self.frequencies = keys[order], frequencies[order]
+    return all_[first], np.diff(np.append(first, len(all_))), np.searchsorted(own[first], np.arange(len(n) + 1))
 
-    def common(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of ``hashes`` are among the keys, and the place of each there."""
-        if not len(self.keys):
-            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return self.keys[at] == hashes, at
 
-    def of(self, hashes: np.ndarray, counts: np.ndarray, frequencies: np.ndarray | None = None) -> np.ndarray:
-        df = np.ones(len(hashes)) if frequencies is None else frequencies.astype(np.float64)
-        hit, at = self.common(hashes)
-        df[hit] = self.frequencies[at[hit]]
-        return (1 + np.log(self.total / np.clip(df, self.least, self.total))) * counts
+def weights(total: int, counts: np.ndarray, frequencies: np.ndarray) -> np.ndarray:
+    """Term frequency times 1 + ln(documents / document frequency)."""
+    return (1 + np.log(max(total, 1) / np.clip(frequencies, 1, max(total, 1)))) * counts
 
 
 def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -123,29 +116,22 @@ def weighted_samples(hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarra
     that is their weighted Jaccard similarity.
     """
     k = bands * rows
-    seeds = mix(np.arange(1, 3 * k + 1, dtype=np.uint64) * _BASE).reshape(3, k)
+    seeds = mix(np.arange(1, k + 1, dtype=np.uint64) * _BASE)
     n = len(offsets) - 1
     out = np.zeros((n, bands), np.uint64)
     log_w = np.log(weights).astype(np.float32)[:, None]
-    unit, half = np.float32(2.0**-32), np.float32(2.0**-33)
+    unit, half = np.float32(2.0**-16), np.float32(2.0**-17)  # uniforms of 16 bits, five to a hash
 
-    def uniforms(h, seed):
-        z = h[:, None] ^ seed[None, :]
+    def block(a, b):
+        """Of shingles a to b: what is to be minimal, and t."""
+        z = hashes[a:b, None] ^ seeds[None, :]
         z = (z ^ (z >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         z = (z ^ (z >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        beta = (z * _BASE >> np.uint64(48)).astype(np.float32) * unit
         z ^= z >> np.uint64(32)
-        pair = z.view(np.uint32).reshape(len(h), -1, 2).astype(np.float32) * unit + half
-        return pair[:, :, 0], pair[:, :, 1]
-
-    def block(a, b):
-        """Of shingles a to b: what is to be minimal, and t."""
-        with np.errstate(over="ignore"):
-            u, v = uniforms(hashes[a:b], seeds[0])
-            r = -np.log(u * v)
-            u, v = uniforms(hashes[a:b], seeds[1])
-            c = np.log(-np.log(np.minimum(u * v, np.float32(1 - 2.0**-24))))
-            beta, _ = uniforms(hashes[a:b], seeds[2])
-        r = np.maximum(r, np.float32(1e-6))
+        u = z.view(np.uint16).reshape(b - a, k, 4).transpose(2, 0, 1).astype(np.float32) * unit + half
+        r = -np.log(u[0] * u[1])
+        c = np.log(-np.log(u[2] * u[3]))
         t = np.floor(log_w[a:b] / r + beta)
         return c - r * (t - beta) - r, t
 

@@ -39,11 +39,9 @@ def near_rows():
 
 def brute_classes(rows, similarity=0.8):
     data, offsets = text_bytes(pa.array([t for _, t in rows], pa.string()))
-    h, n, cut, _ = shingles.shingles(data, offsets)
-    keys, df = np.unique(h, return_counts=True)
-    common = df >= max(2, neardup.FLOOR * len(rows))
-    weights = shingles.Weights(len(rows), neardup.FLOOR, keys[common], df[common])
-    w = weights.of(h, n)
+    h, n, cut = shingles.shingles(data, offsets)
+    keys, which, df = np.unique(h, return_inverse=True, return_counts=True)
+    w = n * (1 + np.log(len(rows) / df[which]))
     vectors = [(h[a:b], w[a:b]) for a, b in zip(cut, cut[1:], strict=False)]
     group = list(range(len(rows)))
 
