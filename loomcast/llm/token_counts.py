@@ -2,9 +2,9 @@
 
 1. The distinct pre-tokens of the corpus: each task sends those of its texts with their frequencies, a shuffle by pre-token
    adds them up, and the library counts the pieces of each once. The result is a stored table.
-2. The frequencies of each text are joined to that table. Those of the ``COMMON`` most frequent pre-tokens are joined where
-   they arise: their pieces are sent along with tasks, and no key of the join has more than 1 / ``COMMON`` of all
-   pre-tokens. All others are shuffled by pre-token, however rare, however long.
+2. The frequencies of each text are joined to that table. Pre-tokens that make at least 1 / ``COMMON`` of all there are (so
+   that they are ``COMMON`` at most) are joined where they arise: their pieces are sent along with tasks. All others are
+   shuffled by pre-token, however rare, however long, and none is a hot key.
 3. Pieces times frequencies are summed by text, and given to all rows that hold it. No ids are made.
 
 A text is named by two 64-bit hashes; one that occurs in many rows is counted by each task once and its sum divided by how
@@ -33,7 +33,7 @@ from .common import documents, slices, stored
 from .pretokens import starts_of
 
 #: Pre-tokens whose pieces are sent along with tasks, and those that a task holds before it sends their frequencies on.
-COMMON, HELD = 1 << 16, 1 << 17
+COMMON, HELD = 1 << 20, 1 << 18
 
 
 @lru_cache(maxsize=2)
@@ -129,8 +129,9 @@ def short_name(word: bytes) -> bytes:
 
 def text_counts(texts: DataFrame, counted: DataFrame, tokenizer_path: str, common: int = COMMON) -> DataFrame:
     """(_t, _t2, n_tokens) of each distinct text of ``texts`` (_t, _t2, _text)."""
-    most = counted.orderBy(F.desc("times"), "word").limit(common)
-    held = {short_name(bytes(r["word"])): r["pieces"] for r in most.select("word", "pieces").collect()}
+    every = counted.agg(F.sum("times")).first()[0] or 0
+    most = counted.filter(F.col("times") * common >= every).select("word", "pieces")
+    held = {short_name(bytes(r["word"])): r["pieces"] for r in most.collect()}
 
     def run(batches):
         seen: set = set()
