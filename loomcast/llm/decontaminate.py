@@ -1,14 +1,16 @@
 """Operator 6: benchmark decontamination, by DataFrame functions only.
 
 A window is 10 consecutive words of a benchmark item, or the whole of a shorter one. The set of item n-grams is broadcast
-(its size is checked first; a larger set is joined by shuffle instead), and the token windows of each text are scanned:
-any window of w words covers an aligned run of m = (w + 1) // 2 words, so only every m-th run of a text is looked up.
+(its bytes are checked first; a larger set is joined by a salted shuffle instead), and the token windows of each text are
+scanned: any window of w words covers an aligned run of m = (w + 1) // 2 words, so only every m-th run of a text is looked up.
 Each hit is verified by the full windows around it, word for word. Text never leaves its row; only hits are grouped, by
-document, so that a passage shared by a third of the corpus makes no hot group.
+document, so that a passage shared by a third of the corpus makes no hot group. The few documents that are hit are stored,
+and join the others by a 128-bit key of doc_id and text: by broadcast if their bytes allow it.
 
 Defined cases: null and empty texts have no words and no hits; so do items. Rows that share doc_id and text are one
 document to the scan and come back as many rows. Rows that share only doc_id are told apart. Repeated items count by
-their own item_id. Extra columns are not read.
+their own item_id. A very long text is one row's work, in proportion to its words; so is cutting spans out of it. Extra
+columns are not read; those in ``keep`` pass through.
 """
 
 from __future__ import annotations
@@ -16,14 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, stored
 
 WINDOW = 10
 #: Fixed by the contract: what separates words once A-Z is lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows of n-grams that may be broadcast: at about 100 bytes a row, 50 MB.
-BROADCAST_ROWS = 500_000
+#: Bytes that may be broadcast, and parts of a key where a shuffle takes their place.
+BROADCAST_BYTES, SALTS = 64 << 20, 32
 
 
 def ascii_lower(text: Column) -> Column:
@@ -48,31 +50,37 @@ def windows_of(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return each.withColumn("m", F.expr("(w + 1) div 2")).distinct()
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``doc``, ``n_words``, ``spans`` (sorted, disjoint word ranges [start, stop) that are hit), ``item_ids`` (sorted as strings), and ``keep``.
+def keys_of(doc: str, text: str) -> list[Column]:
+    return [F.xxhash64(doc, text).alias("_key"), F.xxhash64(F.lit(1), F.col(doc), F.col(text)).alias("_key2")]
 
-    One row for each row of ``docs``.
+
+def met(rows: DataFrame, others: DataFrame, on: list[str], size: Column, broadcast_bytes: int) -> DataFrame:
+    """Inner join with ``others``, which are distinct in ``on``: broadcast if their ``size`` adds up to few bytes, or else
+    by a shuffle in which each key has ``SALTS`` parts."""
+    if (others.agg(F.sum(size)).first()[0] or 0) <= broadcast_bytes:
+        return rows.join(F.broadcast(others), on)
+    salted = others.withColumn("_salt", F.explode(F.array(*(F.lit(i) for i in range(SALTS)))))
+    return rows.withColumn("_salt", F.pmod("_key2", F.lit(SALTS)).cast("int")).join(salted, [*on, "_salt"]).drop("_salt")
+
+
+def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(``_key``, ``_key2``, ``spans``, ``item_ids``) of the documents that have any.
+
+    ``spans``: sorted, disjoint word ranges [start, stop) that are hit. ``item_ids``: sorted as strings.
     """
     windows = windows_of(items, window)
     grams = windows.select("m", F.explode(until(F.col("w") - F.col("m") + 1, lambda i: F.xxhash64(F.slice("words", i + 1, F.col("m"))))).alias("gram")).distinct()
-    keyed = windows.select("item_id", "w", F.array_join("words", " ").alias("window"))
+    keyed = windows.select("item_id", "w", F.array_join("words", " ").alias("window")).groupBy("w", "window").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
     shapes = sorted((r["m"], r["w"]) for r in windows.select("m", "w").distinct().collect())  # as many as window lengths, at most
-    small = grams.limit(broadcast_rows + 1).count() <= broadcast_rows and keyed.limit(broadcast_rows + 1).count() <= broadcast_rows
-    hinted = F.broadcast if small else (lambda x: x)
 
-    keep = tuple(c for c in keep if c not in (doc, "n_words", "spans", "item_ids"))
-    # Columns passed on travel as one, so that their names don't matter here.
-    passed = F.struct(F.col(doc).alias("doc"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(keep))).alias("_kept")
-    words = docs.select(passed, F.xxhash64(doc, text).alias("_key"), F.xxhash64(F.lit(1), F.col(doc), F.col(text)).alias("_key2"), words_of(F.col(text)).alias("_words"))
-    words = words.withColumn("_n", F.size("_words"))
-    # Besides the aligned runs, each text sends one row without a run, which keeps texts that have no hit.
-    none = F.array(F.struct(F.lit(0).alias("m"), F.lit(-1).alias("p"), F.lit(None).cast("long").alias("gram")))
+    words = docs.select(*keys_of(doc, text), words_of(F.col(text)).alias("_words")).withColumn("_n", F.size("_words"))
+    run = "array<struct<m:int,p:int,gram:bigint>>"
+
     def aligned(m: int) -> Column:
-        return until(F.expr(f"_n div {m}"), lambda k: F.struct(F.lit(m).alias("m"), (k * m).alias("p"), F.xxhash64(F.slice("_words", k * m + 1, F.lit(m))).alias("gram")))
+        return until(F.expr(f"_n div {m}"), lambda k: F.struct(F.lit(m).alias("m"), (k * m).alias("p"), F.xxhash64(F.slice("_words", k * m + 1, F.lit(m))).alias("gram"))).cast(run)
 
-    runs = [aligned(m) for m in sorted({m for m, _ in shapes})]
-    rows = words.withColumn("_run", F.explode(F.concat(none, *runs))).withColumns({c: F.col(f"_run.{c}") for c in ("m", "p", "gram")})
-    rows = rows.withColumn("_kept", F.when(F.col("p") < 0, F.col("_kept")))  # once for each text, not with every hit
+    runs = [aligned(m) for m in sorted({m for m, _ in shapes})] or [F.array().cast(run)]
+    rows = words.withColumn("_run", F.explode(F.concat(*runs))).withColumns({c: F.col(f"_run.{c}") for c in ("m", "p", "gram")})
 
     def nearby(m: int, w: int) -> Column:
         """Windows of w words that cover the run of m words at p."""
@@ -81,36 +89,55 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc:
         made = until(count, lambda i: F.struct((first + i).alias("start"), F.lit(w).alias("w"), F.array_join(F.slice("_words", first + i + 1, F.lit(w)), " ").alias("window")))
         return F.when(F.col("m") == m, made).otherwise(F.slice(made, 1, 0))
 
-    kept = ["_kept", "_key", "_key2", "_n"]
     tried = F.concat(*(nearby(m, w) for m, w in shapes)) if shapes else F.array().cast("array<struct<start:int,w:int,window:string>>")
-    if small:
-        hits = rows.join(hinted(grams.withColumn("_hit", F.lit(True))), ["m", "gram"], "left").filter("p < 0 or _hit").select(*kept, "p", tried.alias("_tried"))
+    gram_bytes = F.lit(20)
+    if (grams.agg(F.sum(gram_bytes)).first()[0] or 0) <= broadcast_bytes:
+        candidates = met(rows, grams, ["m", "gram"], gram_bytes, broadcast_bytes).select("_key", "_key2", tried.alias("_tried"))
     else:  # the words themselves stay behind when runs are shuffled
-        hits = rows.select(*kept, "m", "p", "gram", F.when(F.col("p") >= 0, tried).alias("_tried")).join(grams.withColumn("_hit", F.lit(True)), ["m", "gram"], "left").filter("p < 0 or _hit").select(*kept, "p", "_tried")
-    each = hits.select(*kept, "p", F.explode_outer(F.when(F.col("p") >= 0, F.col("_tried"))).alias("_t")).select(*kept, "p", "_t.start", "_t.w", "_t.window")
-    found = each.join(hinted(keyed), ["w", "window"], "left").filter("p < 0 or item_id is not null")
-    grouped = found.groupBy("_key", "_key2", "_n").agg(
-        F.collect_list("_kept").alias("_rows"),
-        F.collect_set(F.when(F.col("p") >= 0, F.struct("start", (F.col("start") + F.col("w")).alias("stop")))).alias("_hits"),
-        F.array_sort(F.collect_set(F.when(F.col("p") >= 0, F.col("item_id").cast("string")))).alias("item_ids"),
+        candidates = met(rows.select("_key", "_key2", "m", "gram", tried.alias("_tried")), grams, ["m", "gram"], gram_bytes, broadcast_bytes)
+    each = candidates.select("_key", "_key2", F.explode("_tried").alias("_t")).select("_key", "_key2", "_t.start", "_t.w", "_t.window")
+    found = met(each, keyed, ["w", "window"], F.octet_length("window") + 24 * F.size("ids") + 32, broadcast_bytes)
+    grouped = found.groupBy("_key", "_key2").agg(
+        F.collect_set(F.struct("start", (F.col("start") + F.col("w")).alias("stop"))).alias("_hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("item_ids"),
     )
-    span = "array<struct<start:int,stop:int>>"
-    joined = F.aggregate(
-        F.array_sort("_hits"), F.array().cast(span),
-        lambda done, x: F.when((F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= x["start"]),
-            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["stop"], x["stop"]).alias("stop")))),
-        ).otherwise(F.concat(done, F.array(x))).cast(span),
+    # A span begins and ends where the words that are hit do. A one-element array binds these, which are used many times.
+    covered = F.array_sort(F.array_distinct(F.flatten(F.transform("_hits", lambda x: F.sequence(x["start"], x["stop"] - 1)))))
+    begins = lambda at: F.filter(at, lambda p, i: (i == 0) | (F.get(at, i - 1) != p - 1))
+    ends = lambda at: F.filter(at, lambda p, i: F.coalesce(F.get(at, i + 1) != p + 1, F.lit(True)))
+    joined = F.get(F.transform(F.array(covered), lambda at: F.zip_with(begins(at), ends(at), lambda a, b: F.struct(a.alias("start"), (b + 1).alias("stop")))), 0)
+    return grouped.select("_key", "_key2", joined.alias("spans"), "item_ids")
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``doc``, ``n_words``, ``spans``, ``item_ids`` (see :func:`hits`; empty without any), and ``keep``: one row for each row of ``docs``."""
+    marks = stored(hits(docs, items, window, doc, text, broadcast_bytes), "hits")
+    size = marks.agg(F.sum(48 + 8 * F.size("spans") + F.aggregate("item_ids", F.lit(0), lambda n, x: n + 24 + F.octet_length(x)))).first()[0] or 0
+    keep = tuple(c for c in keep if c not in (doc, "n_words", "spans", "item_ids"))
+    # Columns passed on travel as one, so that their names don't matter here.
+    passed = F.struct(F.col(doc).alias("doc"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(keep))).alias("_kept")
+    every = docs.select(passed, *keys_of(doc, text), F.size(words_of(F.col(text))).cast("long").alias("n_words"))
+    joined = every.join(F.broadcast(marks) if size <= broadcast_bytes else marks, ["_key", "_key2"], "left")
+    return joined.select(
+        F.col("_kept.doc").alias(doc), *(F.col(f"_kept.c{i}").alias(c) for i, c in enumerate(keep)), "n_words",
+        F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")).alias("spans"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
     )
-    # A repeated row is one group; it comes back as often as it was there.
-    return grouped.withColumn("_kept", F.explode("_rows")).select(F.col("_kept.doc").alias(doc), *(F.col(f"_kept.c{i}").alias(c) for i, c in enumerate(keep)), F.col("_n").cast("long").alias("n_words"), F.when(F.size("_hits") == 0, F.array().cast(span)).otherwise(joined).alias("spans"), "item_ids")
 
 
 def without_spans(text: Column, spans: Column) -> Column:
-    """``text`` with the words of ``spans`` cut out, and the separators that follow them."""
-    tokens = F.regexp_extract_all(text, F.lit(r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"), 1)
-    leads = F.regexp_like(text, F.lit(r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
-    word = lambda i: F.when(leads, F.when(i == 0, F.lit(-1)).otherwise(F.floor((i - 1) / 2))).otherwise(F.floor(i / 2))
-    return F.array_join(F.filter(tokens, lambda x, i: ~F.exists(spans, lambda s: (word(i) >= s["start"]) & (word(i) < s["stop"]))), "")
+    """``text`` with the words of ``spans`` cut out, and the separators that follow them. The text is cut into words once."""
+    letter, other = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+    words = F.regexp_extract_all(text, F.lit(f"{letter}++{other}*+"), F.lit(0))
+
+    def between(words, i):
+        """The words after span i - 1 and before span i."""
+        start = F.when(i > 0, F.get(spans, i - 1)["stop"]).otherwise(0)
+        stop = F.when(i < F.size(spans), F.get(spans, i)["start"]).otherwise(F.size(words))
+        return F.slice(words, start + 1, stop - start)
+
+    # A one-element array binds the words, which are used for each span.
+    kept = F.transform(F.array(words), lambda w: F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(spans)), lambda i: between(w, i))), ""))
+    return F.concat(F.regexp_extract(text, f"^{other}*+", 0), F.get(kept, 0))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

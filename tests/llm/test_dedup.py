@@ -132,8 +132,8 @@ def brute_hits(text, items):
     return len(words), sorted(hit), sorted(found)
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 3])
-def test_contamination_equals_brute_force(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 3])
+def test_contamination_equals_brute_force(spark, broadcast_bytes):
     rnd = random.Random(4)
     items = [(i, sentence(rnd, n)) for i, n in enumerate([30, 12, 10, 9, 8, 7, 6, 5, 4, 3, 2, 1, 11, 25])] + [(20, None), (21, "..."), (22, "Épsilon ÉPSILON zz9"), (0, "repeated id alpha1 beta2")]
     rows = [(200, None), (201, ""), (202, "--"), (203, items[0][1].upper()), (204, "x, " + items[1][1].replace(" ", "  -- ") + "\ny"), (205, "épsilon ÉPSILON ZZ9")]
@@ -147,7 +147,7 @@ def test_contamination_equals_brute_force(spark, broadcast_rows):
         rows.append((i, " ".join(words)))
     rows.append(rows[-1])
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.contamination(frame(spark, rows), bench, keep=("text",), broadcast_rows=broadcast_rows).collect()
+    got = decontaminate.contamination(frame(spark, rows), bench, keep=("text",), broadcast_bytes=broadcast_bytes).collect()
     assert len(got) == len(rows)
     assert any(r["spans"] for r in got)
     for r in got:
