@@ -28,10 +28,20 @@ from .pretokens import pieces
 LONG = 64
 
 
-class Ranks:
+class Vocabulary:
+    """The bytes of all tokens, by id."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+
+class Ranks(Vocabulary):
     """A vocabulary by rank: the rank of a token is its id, and a pair's rank is that of its concatenation."""
 
     def __init__(self, tokens: list[bytes]):
+        super().__init__(tokens)
         self.tokens, self.rank = tokens, {t: i for i, t in enumerate(tokens)}
         self.size = len(tokens)
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
@@ -47,9 +57,6 @@ class Ranks:
         self.keys, self.values = np.array(keys, np.int64)[order], np.array(values, np.int32)[order]
         #: Tokens that can form a pair of lower rank than their own: after such a merge the queue has to look back at once.
         self.early = frozenset(early)
-        self.lengths = np.array([len(t) for t in tokens], np.int64)
-        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         small = self.byte[:, None].astype(np.int64) * self.size + self.byte[None, :]
         self.byte_pair = self.pair(small.ravel()).reshape(256, 256)
 
@@ -65,14 +72,23 @@ class Ranks:
         return np.where(self.keys[at] == keys, self.values[at], np.int32(-1))
 
 
-@lru_cache(maxsize=4)
-def ranks_of(path: str) -> Ranks:
+def tokens_in(path: str) -> list[bytes]:
     """Reads a rank file: a line for each token, base64 and rank, ranks gapless from 0."""
     with open(path, "rb") as f:
         found = sorted((int(r), base64.b64decode(t)) for t, r in (line.split() for line in f if line.strip()))
     if [r for r, _ in found] != list(range(len(found))):
         raise ValueError("ranks must be gapless from 0")
-    return Ranks([t for _, t in found])
+    return [t for _, t in found]
+
+
+@lru_cache(maxsize=4)
+def ranks_of(path: str) -> Ranks:
+    return Ranks(tokens_in(path))
+
+
+@lru_cache(maxsize=4)
+def vocabulary_of(path: str) -> Vocabulary:
+    return Vocabulary(tokens_in(path))
 
 
 class RankQueue:
@@ -341,7 +357,7 @@ def memo_of(path: str) -> Memo:
     return Memo(encode)
 
 
-def decode(ranks: Ranks, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def decode(ranks: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the token sequences cut at ``offsets``, and their own n + 1 offsets."""
     size = ranks.lengths[ids]
     total = np.concatenate([[0], np.cumsum(size)])

@@ -4,7 +4,8 @@ The merges run through the rank queue of :mod:`.bpe`. Both directions are narrow
 task holds a slice of rows, so that plans scale with the number of input splits.
 
 Defined cases: a null or empty text has no tokens and decodes to no bytes; null ids likewise. Row order and repeated
-rows don't matter. Extra columns pass through; one named like an added column is replaced.
+rows don't matter. A very long text is a slice of its own; a very long pre-token is merged in time that grows with its
+length. Extra columns pass through; one named like an added column is replaced.
 """
 
 from __future__ import annotations
@@ -18,11 +19,18 @@ from . import bpe
 from .common import binary_array, documents, map_text
 
 
-def encode(df: DataFrame, ranks_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Adds ``token_ids`` (binary: little-endian unsigned 32-bit ids) and ``n_tokens`` (long)."""
+def encode(df: DataFrame, ranks_path: str, text: str = "text", keep: list[str] | None = None, verify: bool = False) -> DataFrame:
+    """Adds ``token_ids`` (binary: little-endian unsigned 32-bit ids) and ``n_tokens`` (long).
+
+    ``verify``: the ids of each slice are decoded at once, and an error is raised unless they give the texts' bytes.
+    """
 
     def run(data, offsets):
         ids, cut = bpe.memo_of(ranks_path).ids(data, offsets)
+        if verify:
+            again, at = bpe.decode(bpe.ranks_of(ranks_path), ids, cut)
+            if not (np.array_equal(again, data) and np.array_equal(at, offsets)):
+                raise ValueError("token ids don't decode to their text")
         return [binary_array(ids.astype("<u4").view(np.uint8), cut * 4), pa.array(np.diff(cut), pa.int64())]
 
     return map_text(df, run, {"token_ids": "binary", "n_tokens": "bigint"}, text, keep)
@@ -33,7 +41,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "token_ids", keep: list[st
 
     def run(data, offsets):
         found = np.ascontiguousarray(data).view("<u4")
-        out, cut = bpe.decode(bpe.ranks_of(ranks_path), found, offsets // 4)
+        out, cut = bpe.decode(bpe.vocabulary_of(ranks_path), found, offsets // 4)
         return [binary_array(out, cut)]
 
     return map_text(df, run, {"decoded": "binary"}, ids, keep)
