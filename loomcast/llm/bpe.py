@@ -227,7 +227,10 @@ def merge_all(ranks: Ranks, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
         at = at[pair[at] == r]  # the rest is stale
         if not len(at):
             continue
-        every = at = np.unique(at)
+        if len(at) > 1:
+            at = np.sort(at)
+            at = at[np.concatenate([[True], at[1:] != at[:-1]])]
+        every = at
         if len(at) > 1:  # of pairs that overlap, every other one
             chained = np.zeros(len(at), bool)
             chained[1:] = after[at[:-1]] == at[1:]

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import binary_array, documents, map_text
 
+#: Bytes of text encoded at a time: buckets of the queue should hold many positions.
+SLICE_BYTES = 12 << 20
+
 
 def encode(df: DataFrame, ranks_path: str, text: str = "text", keep: list[str] | None = None, verify: bool = False) -> DataFrame:
     """Adds ``token_ids`` (binary: little-endian unsigned 32-bit ids) and ``n_tokens`` (long).
@@ -33,7 +36,7 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", keep: list[str] |
                 raise ValueError("token ids don't decode to their text")
         return [binary_array(ids.astype("<u4").view(np.uint8), cut * 4), pa.array(np.diff(cut), pa.int64())]
 
-    return map_text(df, run, {"token_ids": "binary", "n_tokens": "bigint"}, text, keep)
+    return map_text(df, run, {"token_ids": "binary", "n_tokens": "bigint"}, text, keep, SLICE_BYTES)
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "token_ids", keep: list[str] | None = None) -> DataFrame:

@@ -6,11 +6,13 @@ sends. A block is a run of whole documents, coded by itself in interleaved lanes
 and a crc32 of its ids. Files are Parquet tables of blocks, a part for each range of doc_ids, so that any file system and
 task retries will do; the table of frequencies lies beside them.
 
-Texts are shuffled once, by range. Encoding runs twice, for the counts and for the blocks, as ids would take more disk
-than text; the worker's memo of pre-tokens makes the second run cheap. The library encodes each distinct pre-token.
+Texts are encoded once, where they are read, and their ids stored (two bytes each if the vocabulary allows it, less than the
+text). Counts and blocks are made from these; only ids are shuffled, by range. The library encodes each distinct pre-token of a
+slice that the worker's memo lacks.
 
 Defined cases: a null or empty text is just the end id. Null doc_ids come first. Rows that share a doc_id are ordered by
-a hash of the text; repeated rows are repeated. An empty table makes files without blocks. Extra columns are not read.
+a hash of the text; repeated rows are repeated. A very long text is a slice and, from ``block_ids`` on, a block of its own. An
+empty table makes files without blocks. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -28,10 +30,12 @@ from pyspark.sql import functions as F
 
 from . import rans
 from .bpe import Memo
-from .common import binary_array, documents, ranges, scratch, slices, split_count
+from .common import binary_array, discard, documents, scratch, slices, split_count, stored, text_bytes
 from .token_counts import library, pieces_with_specials, texts_of
 
 BLOCK_IDS = 1 << 19
+#: Ids of a part at about 64 MB, bytes of text encoded at a time, and pre-tokens that the library encodes at a time.
+PART_IDS, SLICE_BYTES, LIBRARY_WORDS = 1 << 25, 12 << 20, 1 << 14
 BLOCKS = (
     "part int, block int, start bigint, n_ids bigint, doc_ids array<bigint>, doc_tokens array<bigint>, words binary, states binary, places array<bigint>, crc32 bigint"
 )
@@ -40,53 +44,69 @@ BLOCKS = (
 @lru_cache(maxsize=2)
 def id_memo(path: str) -> Memo:
     def encode(data, offsets):
-        found = [e.ids for e in library(path).encode_batch_fast(texts_of(data, offsets), add_special_tokens=False)]
-        cut = np.concatenate([[0], np.cumsum([len(i) for i in found])]).astype(np.int64)
-        return np.fromiter(itertools.chain.from_iterable(found), np.int32, int(cut[-1])), cut
+        found, cut = [], offsets.tolist()
+        for a in range(0, len(cut) - 1, LIBRARY_WORDS):  # the library's results are large, so few are held at a time
+            b = min(a + LIBRARY_WORDS, len(cut) - 1)
+            texts = texts_of(data[cut[a] : cut[b]], offsets[a : b + 1] - cut[a])
+            found += [e.ids for e in library(path).encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.concatenate([[0], np.cumsum([len(i) for i in found])]).astype(np.int64)
+        return np.fromiter(itertools.chain.from_iterable(found), np.int32, int(size[-1])), size
 
-    return Memo(encode, most=2_000_000)
+    return Memo(encode)
 
 
-def id_counts(df: DataFrame, tokenizer_path: str, end_id: int, text: str = "text") -> np.ndarray:
-    """How often each id of the vocabulary occurs in all of ``df``, end ids included."""
+def encoded(df: DataFrame, tokenizer_path: str, end_id: int, doc: str, text: str) -> DataFrame:
+    """(_doc, _tie, ids): the ids of each text and the end id, in the narrowest type that holds the vocabulary (:func:`id_type`)."""
+    kind = id_type(tokenizer_path)
 
     def run(batches):
-        size = library(tokenizer_path).get_vocab_size(with_added_tokens=True)
-        total = np.zeros(size, np.int64)
         memo = id_memo(tokenizer_path)
         for batch in batches:
-            for first, end, data, offsets in slices(batch.column(0)):
-                words, _ = pieces_with_specials(tokenizer_path, data, offsets)
-                total[end_id] += end - first
-                if len(words):
-                    coded = words.dictionary_encode()
-                    begin, length = memo.find(coded.dictionary)
-                    times = np.bincount(coded.indices.to_numpy(), minlength=len(begin))
-                    total += np.bincount(memo.flat[ranges(begin, length)], np.repeat(times, length), minlength=size).astype(np.int64)
+            for first, end, data, offsets in slices(batch.column(2), SLICE_BYTES):
+                ids, cut = memo.ids(data, offsets, lambda d, o: pieces_with_specials(tokenizer_path, d, o))
+                closed = np.insert(ids, cut[1:], end_id).astype(kind)
+                cut = (cut + np.arange(len(cut))) * closed.itemsize
+                yield pa.RecordBatch.from_arrays([*(c.slice(first, end - first) for c in batch.columns[:2]), binary_array(closed.view(np.uint8), cut)], names=["_doc", "_tie", "ids"])
+
+    texts = df.select(F.col(doc).cast("long").alias("_doc"), F.xxhash64(text).alias("_tie"), F.col(text).alias("_text"))
+    return texts.mapInArrow(run, "_doc bigint, _tie bigint, ids binary")
+
+
+def id_type(tokenizer_path: str) -> str:
+    return "<u2" if library(tokenizer_path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+
+def id_counts(ids: DataFrame, tokenizer_path: str) -> np.ndarray:
+    """How often each id of the vocabulary occurs in ``ids`` (one column)."""
+    size, kind = library(tokenizer_path).get_vocab_size(with_added_tokens=True), id_type(tokenizer_path)
+
+    def run(batches):
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            total += np.bincount(text_bytes(batch.column(0))[0].view(kind), minlength=size)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], names=["id", "n"])
 
-    size = library(tokenizer_path).get_vocab_size(with_added_tokens=True)
     counts = np.zeros(size, np.int64)
-    for r in df.select(text).mapInArrow(run, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in ids.mapInArrow(run, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r["id"]] = r["n"]
     return counts
 
 
 def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, doc: str = "doc_id", text: str = "text", block_ids: int = BLOCK_IDS) -> None:
     """Writes ``path/frequencies`` and ``path/blocks``."""
-    spark = df.sparkSession
-    counts = id_counts(df, tokenizer_path, end_id, text)
+    spark, kind = df.sparkSession, id_type(tokenizer_path)
+    rows = stored(encoded(df, tokenizer_path, end_id, doc, text), "ids", compression="zstd")
+    counts = id_counts(rows.select("ids"), tokenizer_path)
     spark.createDataFrame([(int(i), int(counts[i])) for i in np.flatnonzero(counts)], "id int, n bigint").coalesce(1).write.parquet(f"{path}/frequencies")
 
     def run(batches):
         table = rans.Table(counts)
         part, block, start = TaskContext.get().partitionId(), 0, 0
-        memo = id_memo(tokenizer_path)
         docs, sizes, held, n = [], [], [], 0
 
         def flush():
-            ids = np.concatenate(held) if held else np.zeros(0, np.int32)
+            ids = np.concatenate(held) if held else np.zeros(0, kind)
             words, states, places = rans.encode(table, ids)
             row = [part, block, start, len(ids), docs, sizes, words.astype("<u4").tobytes(), states.astype("<u8").tobytes(), places.tolist(), zlib.crc32(ids.astype("<u4").tobytes())]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
@@ -94,29 +114,29 @@ def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, doc: s
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for first, end, data, offsets in slices(batch.column(1)):
-                ids, cut = memo.ids(data, offsets, lambda d, o: pieces_with_specials(tokenizer_path, d, o))
-                closed = np.insert(ids, cut[1:], end_id)
-                cut = cut + np.arange(len(cut))
-                at = 0
-                while at < end - first:  # as many documents as the block still takes
-                    stop = max(at + 1, int(np.searchsorted(cut, cut[at] + block_ids - n, "right")) - 1)
-                    stop = min(stop, end - first)
-                    held.append(closed[cut[at] : cut[stop]])
-                    docs += names[first + at : first + stop]
-                    sizes += np.diff(cut[at : stop + 1]).tolist()
-                    n += int(cut[stop] - cut[at])
-                    at = stop
-                    if n >= block_ids or at < end - first:
-                        yield flush()
-                        block, start = block + 1, start + n
-                        docs, sizes, held, n = [], [], [], 0
+            data, offsets = text_bytes(batch.column(1))
+            ids = data.view(kind)
+            cut = offsets // ids.itemsize
+            at = 0
+            while at < len(names):  # as many documents as the block still takes
+                stop = max(at + 1, int(np.searchsorted(cut, cut[at] + block_ids - n, "right")) - 1)
+                stop = min(stop, len(names))
+                held.append(ids[cut[at] : cut[stop]].copy())
+                docs += names[at:stop]
+                sizes += np.diff(cut[at : stop + 1]).tolist()
+                n += int(cut[stop] - cut[at])
+                at = stop
+                if n >= block_ids or at < len(names):
+                    yield flush()
+                    block, start = block + 1, start + n
+                    docs, sizes, held, n = [], [], [], 0
         if docs:
             yield flush()
 
-    ranged = df.select(F.col(doc).cast("long").alias("_doc"), F.col(text).alias("_text"), F.xxhash64(text).alias("_tie"))
-    ranged = ranged.repartitionByRange(split_count(spark), "_doc", "_tie").sortWithinPartitions("_doc", "_tie")
-    ranged.select("_doc", "_text").mapInArrow(run, BLOCKS).write.parquet(f"{path}/blocks")
+    parts = max(split_count(spark), int(counts.sum()) // PART_IDS)
+    ranged = rows.repartitionByRange(parts, "_doc", "_tie").sortWithinPartitions("_doc", "_tie")
+    ranged.select("_doc", "ids").mapInArrow(run, BLOCKS).write.parquet(f"{path}/blocks")
+    discard(rows)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
