@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, ranges, slices, split_count
+from .common import documents, ranges, slices, split_count, text_bytes
 
 DEPTH, GRAM = 100, 32
 #: Anchors that a map task compares among themselves before it sends them on, and windows that are sorted at a time.
@@ -119,18 +119,23 @@ def shared_positions(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> D
     schema = "h bigint, _row bigint, pos int"
     # What a task meets twice is shared for certain; each task sends a hash once to be compared with the other tasks'.
     known = texts.mapInArrow(run(True), schema).select("_row", "pos")
-    once = texts.mapInArrow(run(False), schema).repartition(split_count(docs.sparkSession), "h")
+    once = texts.mapInArrow(run(False), schema).repartition(split_count(docs.sparkSession), "h").sortWithinPartitions("h")
 
     def met_again(batches):
-        table = pa.Table.from_batches(list(batches), pa.schema([("h", pa.int64()), ("_row", pa.int64()), ("pos", pa.int32())]))
-        h = table.column("h").to_numpy()
-        order = np.argsort(h, kind="stable")
-        s = h[order]
-        same = s[1:] == s[:-1]
-        shared = np.zeros(len(s), bool)
-        shared[1:] |= same
-        shared[:-1] |= same
-        yield from table.select(["_row", "pos"]).take(pa.array(order[shared])).to_batches()
+        """Rows in order of h go by; the last one of a batch waits for the next unless it is settled."""
+        last, waiting = None, None
+        for batch in batches:
+            h = batch.column(0).to_numpy()
+            if not len(h):
+                continue
+            same = np.concatenate([[last is not None and h[0] == last], h[1:] == h[:-1]])
+            if same[0] and waiting is not None:
+                yield waiting
+            shared = same.copy()
+            shared[:-1] |= same[1:]
+            rows = batch.select(["_row", "pos"])
+            yield rows.filter(pa.array(shared))
+            last, waiting = h[-1], None if shared[-1] else rows.slice(len(h) - 1, 1)
 
     return known.unionByName(once.mapInArrow(met_again, "_row bigint, pos int"))
 
@@ -256,46 +261,62 @@ def removed_ranges(docs: DataFrame, doc: str, depth: int = DEPTH, gram: int = GR
                 yield batch_of(h.view(np.int64)[go], who[go], key[go], start[go], (hi - lo)[go], pa.array([segments[i] for i in go.tolist()], pa.binary()))
 
     schema = "key bigint, _doc bigint, _row bigint, start int, more int, segment binary"
-    sent = texts.mapInArrow(cut, schema).repartition(parts, "key")
+    # Segments of one key follow each other, in order of document and start; the task holds a run of whole keys at a time.
+    sent = texts.mapInArrow(cut, schema).repartition(parts, "key").sortWithinPartitions("key", "_doc", "_row", "start")
+
+    def give(doc, row, start, stop):
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(row), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))], names=["_doc", "_row", "start", "stop"])
+
+    def repeats(doc, row, start, more, segments):
+        """Ranges of ``segments``, in order of document, that repeat an earlier one's bytes."""
+        data = text_bytes(segments)[0]
+        count = more.astype(np.int64) + 1
+        begin = np.cumsum(count + depth - 1) - (count + depth - 1)
+        k = np.flatnonzero(repeated(data, ranges(begin, count), depth))
+        if len(k):
+            own = np.repeat(np.arange(len(count)), count)
+            step = ranges(np.zeros(len(count)), count)
+            new = np.ones(len(k), bool)
+            new[1:] = (k[1:] != k[:-1] + 1) | (own[k[1:]] != own[k[:-1]])
+            a, b = k[new], k[np.append(new[1:], True)]
+            yield give(doc[own[a]], row[own[a]], start[own[a]] + step[a], start[own[a]] + step[b] + depth)
 
     def sort(batches):
-        names = ["key", "_doc", "_row", "start", "more", "segment"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        table = pa.Table.from_batches(list(batches), pa.schema(list(zip(names, kinds, strict=True)))).combine_chunks()
-        decided = table.column("segment").is_null().to_numpy()
-
-        def give(doc, row, start, stop):
-            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(row), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))], names=["_doc", "_row", "start", "stop"])
-
-        key, doc, row, start, more = (table.column(c).to_numpy() for c in names[:5])
-        if decided.any():
-            yield give(doc[decided], row[decided], start[decided], start[decided] + more[decided] + depth)
-        rows = np.flatnonzero(~decided)
-        rows = rows[np.lexsort((start[rows], row[rows], doc[rows], key[rows]))]
-        weight = np.cumsum(more[rows].astype(np.int64) + 1)
-        at = 0
-        while at < len(rows):  # whole hashes, about SORTED_WINDOWS windows at a time
-            stop = int(np.searchsorted(weight, (weight[at - 1] if at else 0) + SORTED_WINDOWS, "right"))
-            stop = max(stop, at + 1)
-            while stop < len(rows) and key[rows[stop]] == key[rows[stop - 1]]:
-                stop += 1
-            mine = rows[at:stop]
-            at = stop
-            segments = table.column("segment").take(pa.array(mine)).combine_chunks()
-            data = np.frombuffer(b"".join(segments.to_pylist()), np.uint8)
-            count = more[mine].astype(np.int64) + 1
-            begin = np.cumsum(count + depth - 1) - (count + depth - 1)
-            windows = ranges(begin, count)
-            hit = repeated(data, windows, depth)
-            own = np.repeat(np.arange(len(mine)), count)
-            step = ranges(np.zeros(len(mine)), count)
-            k = np.flatnonzero(hit)
-            if len(k):
-                new = np.ones(len(k), bool)
-                new[1:] = (k[1:] != k[:-1] + 1) | (own[k[1:]] != own[k[:-1]])
-                a, b = k[new], k[np.append(new[1:], True)]
-                base = start[mine[own[a]]]
-                yield give(doc[mine[own[a]]], row[mine[own[a]]], base + step[a], base + step[b] + depth)
+        held, windows, last = [], 0, None
+
+        def done():
+            columns = [pa.concat_arrays(c) for c in zip(*held, strict=True)]
+            held.clear()
+            yield from repeats(*(c.to_numpy() for c in columns[:4]), columns[4])
+
+        for batch in batches:
+            _, who, row, start, more, segment = batch.columns
+            settled = np.flatnonzero(segment.is_null().to_numpy(zero_copy_only=False))
+            if len(settled):
+                d, r, a, n = (c.to_numpy()[settled] for c in (who, row, start, more))
+                yield give(d, r, a, a + n + depth)
+            part = batch.filter(segment.is_valid())
+            key = part.column(0).to_numpy()
+            if not len(key):
+                continue
+            change = np.flatnonzero(np.concatenate([[last is not None and key[0] != last], key[1:] != key[:-1]]))
+            total = np.cumsum(part.column(4).to_numpy().astype(np.int64) + 1)
+            at = 0
+            while at < len(key):  # up to the first change of key at which there are enough windows
+                before = int(total[at - 1]) if at else 0
+                enough = at if windows >= SORTED_WINDOWS else int(np.searchsorted(total, before + SORTED_WINDOWS - windows)) + 1
+                k = int(np.searchsorted(change, enough))
+                stop = int(change[k]) if k < len(change) else len(key)
+                if stop > at:
+                    held.append([c.slice(at, stop - at) for c in part.columns[1:]])
+                    windows += int(total[stop - 1]) - before
+                if k < len(change):
+                    yield from done()
+                    windows = 0
+                at = stop
+            last = key[-1]
+        if held:
+            yield from done()
 
     return sent.mapInArrow(sort, "_doc bigint, _row bigint, start int, stop int")
 
