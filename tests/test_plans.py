@@ -110,7 +110,7 @@ def test_run_log(spark, tmp_path):
 
 
 def test_hurdle_trains_scores_and_reloads(spark, tmp_path):
-    rows = [(i % 5 == 0 and 0 or i % 7 + 1, float(i % 5), float(i % 7) if i % 9 else None) for i in range(200)]
+    rows = [(0 if i % 5 == 0 else i % 7 + 1, float(i % 5), float(i % 7) if i % 9 else None) for i in range(200)]
     df = spark.createDataFrame(rows, "quantite long, a double, b double")
     spec = hurdle.HurdleSpec(zero_rounds=2, quantity_rounds=2, depth=3)
     model = hurdle.train_hurdle(df.filter("a < 4"), df.filter("a >= 4 or b is null"), ["a", "b"], spec)
