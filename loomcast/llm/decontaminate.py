@@ -73,29 +73,29 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc: str = "do
     keyed = windows.select("item_id", "w", F.array_join("words", " ").alias("window")).groupBy("w", "window").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
     shapes = sorted((r["m"], r["w"]) for r in windows.select("m", "w").distinct().collect())  # as many as window lengths, at most
 
-    words = docs.select(*keys_of(doc, text), words_of(F.col(text)).alias("_words")).withColumn("_n", F.size("_words"))
+    words = words_of(F.col(text))
     run = "array<struct<m:int,p:int,gram:bigint>>"
 
     def aligned(m: int) -> Column:
-        return until(F.expr(f"_n div {m}"), lambda k: F.struct(F.lit(m).alias("m"), (k * m).alias("p"), F.xxhash64(F.slice("_words", k * m + 1, F.lit(m))).alias("gram"))).cast(run)
+        return until(F.expr(f"size(_words) div {m}"), lambda k: F.struct(F.lit(m).alias("m"), (k * m).alias("p"), F.xxhash64(F.slice("_words", k * m + 1, F.lit(m))).alias("gram"))).cast(run)
 
+    # The scan passes on where a run is, never the words, which would be copied for each of the text's runs.
     runs = [aligned(m) for m in sorted({m for m, _ in shapes})] or [F.array().cast(run)]
-    rows = words.withColumn("_run", F.explode(F.concat(*runs))).withColumns({c: F.col(f"_run.{c}") for c in ("m", "p", "gram")})
+    rows = docs.select(*keys_of(doc, text), words.alias("_words")).select("_key", "_key2", F.inline(F.concat(*runs)))
+    places = met(rows, grams, ["m", "gram"], F.lit(20), broadcast_bytes).groupBy("_key", "_key2").agg(F.collect_set(F.struct("m", "p")).alias("_at"))
+    places = stored(places, "places")
+    few = (places.agg(F.sum(32 + 8 * F.size("_at"))).first()[0] or 0) <= broadcast_bytes
 
-    def nearby(m: int, w: int) -> Column:
+    def nearby(at: Column, m: int, w: int) -> Column:
         """Windows of w words that cover the run of m words at p."""
-        first = F.greatest(F.lit(0), F.col("p") - F.lit(w - m))
-        count = F.least(F.col("p"), F.col("_n") - F.lit(w)) - first + 1
-        made = until(count, lambda i: F.struct((first + i).alias("start"), F.lit(w).alias("w"), F.array_join(F.slice("_words", first + i + 1, F.lit(w)), " ").alias("window")))
-        return F.when(F.col("m") == m, made).otherwise(F.slice(made, 1, 0))
-
-    tried = F.concat(*(nearby(m, w) for m, w in shapes)) if shapes else F.array().cast("array<struct<start:int,w:int,window:string>>")
-    gram_bytes = F.lit(20)
-    if (grams.agg(F.sum(gram_bytes)).first()[0] or 0) <= broadcast_bytes:
-        candidates = met(rows, grams, ["m", "gram"], gram_bytes, broadcast_bytes).select("_key", "_key2", tried.alias("_tried"))
-    else:  # the words themselves stay behind when runs are shuffled
-        candidates = met(rows.select("_key", "_key2", "m", "gram", tried.alias("_tried")), grams, ["m", "gram"], gram_bytes, broadcast_bytes)
-    each = candidates.select("_key", "_key2", F.explode("_tried").alias("_t")).select("_key", "_key2", "_t.start", "_t.w", "_t.window")
+        first = F.greatest(F.lit(0), at["p"] - F.lit(w - m))
+        count = F.when(at["m"] == m, F.least(at["p"], F.size("_words") - F.lit(w)) - first + 1).otherwise(0)
+        return until(count, lambda i: F.struct((first + i).alias("start"), F.lit(w).alias("w"), F.array_join(F.slice("_words", first + i + 1, F.lit(w)), " ").alias("window")))
+
+    tried = F.transform("_at", lambda at: F.concat(*(nearby(at, m, w) for m, w in shapes))) if shapes else F.array().cast("array<array<struct<start:int,w:int,window:string>>>")
+    # Of the documents that have a run, once each.
+    again = docs.select(*keys_of(doc, text), F.col(text).alias("_text")).join(F.broadcast(places) if few else places, ["_key", "_key2"])
+    each = again.select("_key", "_key2", "_at", words_of(F.col("_text")).alias("_words")).select("_key", "_key2", F.inline(F.array_distinct(F.flatten(tried))))
     found = met(each, keyed, ["w", "window"], F.octet_length("window") + 24 * F.size("ids") + 32, broadcast_bytes)
     grouped = found.groupBy("_key", "_key2").agg(
         F.collect_set(F.struct("start", (F.col("start") + F.col("w")).alias("stop"))).alias("_hits"),
