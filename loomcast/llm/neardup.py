@@ -108,8 +108,9 @@ class Chunks:
     def __init__(self, docs: DataFrame, total_bytes: int):
         spark = docs.sparkSession
         self.parts = max(split_count(spark), -(-total_bytes // PART_BYTES))
-        chunks = max(4 * self.parts, -(-total_bytes // CHUNK_BYTES))
-        self.ranges = max(4 * split_count(spark), -(-total_bytes // RANGE_BYTES))
+        # These two follow the bytes alone: a chunk asks each range at most once.
+        chunks = max(64, -(-total_bytes // CHUNK_BYTES))
+        self.ranges = max(16, -(-total_bytes // RANGE_BYTES))
         dealt = collapsed(docs).withColumn("chunk", F.pmod(F.xxhash64("node"), F.lit(chunks))).repartition(self.parts, "chunk")
         first = F.min(F.struct(F.col("_doc").isNull(), "_doc", "_row")).alias("_first")
         nodes = dealt.groupBy("chunk", "node").agg(F.sum("copies").alias("copies"), first, F.max("_text").alias("_text"))
