@@ -77,6 +77,12 @@ SEED = 42
 ITEM_CODES = {"specialite": "art_specialite_enc", "famille": "art_famille_enc", "marque": "art_marque_enc", "article_mdd": "art_mdd_enc"}
 GROUP_CODE = "ag_region_enc"
 BILLING_COLUMNS = ("fac_prix_unit", "fac_pct_pro", "fac_nb_chantiers", "fac_nb_achats")
+#: Names of features, in model order.
+HISTORY_FEATURES = (
+    "pair_zero_rate_expanding", "trend_8", "ratio_n1_vs_mean", "yoy_ratio", "pair_mean", "pair_median", "pair_max", "pair_count", "pair_cv",
+    "sem_mean", "sem_max", "sem_median", "agence_mean", "agence_median", "article_mean", "article_median", "n_active_weeks",
+)
+CALENDAR_FEATURES = ("annee", "num_sem", "sin_sem", "cos_sem", "is_summer_trough", "is_xmas_trough")
 BASE_COLUMNS = ("semaine", "week_id", "code_agence", "code_article", "quantite", "quantite_raw", "quantite_smooth", "is_anomaly", "is_capped", "is_dead_pair")
 
 
@@ -88,10 +94,9 @@ def numeric_features(spec: FeatureSpec = FeatureSpec()) -> list[str]:
         *(f"roll_std_{n}" for n in spec.means),
         *(f"roll_median_{n}" for n in spec.medians),
         *(f"zero_rate_{n}" for n in spec.zero_rates),
-        *"pair_zero_rate_expanding trend_8 ratio_n1_vs_mean yoy_ratio pair_mean pair_median pair_max pair_count pair_cv".split(),
-        *"sem_mean sem_max sem_median agence_mean agence_median article_mean article_median n_active_weeks".split(),
+        *HISTORY_FEATURES,
         *BILLING_COLUMNS,
-        *"annee num_sem sin_sem cos_sem is_summer_trough is_xmas_trough".split(),
+        *CALENDAR_FEATURES,
     ]
 
 

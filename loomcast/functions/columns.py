@@ -47,7 +47,7 @@ def shifted_month(year: Column, month: Column, by: int = BILLING_SHIFT_MONTHS) -
 
 
 def cyclic(number: Column) -> tuple[Column, Column]:
-    angle = number * (2 * math.pi / 1.0) / WEEKS_PER_YEAR
+    angle = 2 * math.pi * number / WEEKS_PER_YEAR  # fixed: a year of 52 weeks
     return F.sin(angle), F.cos(angle)
 
 

@@ -9,7 +9,10 @@ from ..config import CleaningSpec, PanelSpec
 from ..functions.columns import add_time_columns, flag, typed_nulls
 from .windows import PANEL, median, pair_lookback, whole_pair
 
-CLEAN_COLUMNS = "semaine annee num_sem week_id code_agence code_article quantite_raw quantite quantite_smooth is_anomaly is_capped is_dead_pair".split()
+#: The columns of the cleaned panel, in order.
+CLEAN_COLUMNS = (
+    "semaine", "annee", "num_sem", "week_id", "code_agence", "code_article", "quantite_raw", "quantite", "quantite_smooth", "is_anomaly", "is_capped", "is_dead_pair",
+)
 
 
 def pair_statistics(sales: DataFrame, spec: CleaningSpec = CleaningSpec(), p: PanelSpec = PANEL) -> DataFrame:

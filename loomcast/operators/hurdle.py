@@ -10,10 +10,10 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import SEED, FeatureSpec, all_features
+from ..config import GROUP_CODE, ITEM_CODES, SEED, FeatureSpec, all_features
 from ..functions.columns import nonneg_round_even
 from . import metrics
 
@@ -23,6 +23,9 @@ SHORT_TO_LONG = {
     "roll_std_4": "roll_std_26", "roll_std_8": "roll_std_26", "roll_std_13": "roll_std_26", "roll_median_4": "roll_median_13",
 }
 SHORT_LAG = 26
+CATEGORICAL = frozenset([*ITEM_CODES.values(), GROUP_CODE])
+#: Codes from which a categorical feature is taken as a number: each costs a bin in every split.
+MOST_CODES = 1024
 
 
 def impute_short_horizon(df: DataFrame, s: FeatureSpec = FeatureSpec()) -> DataFrame:
@@ -75,20 +78,41 @@ class HurdleSpec:
     bins: int = 64
 
 
-def design(df: DataFrame, names: list[str]) -> DataFrame:
-    """``features``: each feature with missing values as 0 and an indicator of what was missing (trees here reject nulls)."""
-    filled = df.select("*", *(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in names), *(F.col(c).isNull().cast("double").alias(f"_m_{c}") for c in names))
+def categories(train: DataFrame, names: list[str], most: int) -> dict[str, int]:
+    """How many codes each categorical feature has in ``train`` (codes count from 0), of those with fewer than ``most``.
+
+    A feature with more codes than a tree can bin stays a number.
+    """
+    coded = [c for c in names if c in CATEGORICAL]
+    row = train.agg(*(F.max(c).alias(c) for c in coded)).first() if coded else {}
+    return {c: int(row[c]) + 1 for c in coded if row[c] is not None and 0 <= row[c] < most - 1}
+
+
+def design(df: DataFrame, names: list[str], codes: dict[str, int] | None = None) -> DataFrame:
+    """``features``: each feature with missing values as 0 and an indicator of what was missing (trees here reject nulls).
+
+    Features in ``codes`` are categories, by their number of codes; missing and unknown codes share one more.
+    """
+    codes = codes or {}
+
+    def value(c: str) -> Column:
+        if c not in codes:
+            return F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}")
+        known = F.when(F.col(c).between(0, codes[c] - 1), F.col(c)).otherwise(codes[c]).cast("double")
+        return known.alias(f"_x_{c}", metadata={"ml_attr": {"type": "nominal", "num_vals": codes[c] + 1}})
+
+    filled = df.select("*", *(value(c) for c in names), *(F.col(c).isNull().cast("double").alias(f"_m_{c}") for c in names))
     made = VectorAssembler(inputCols=[f"_x_{c}" for c in names] + [f"_m_{c}" for c in names], outputCol="features").transform(filled)
     return made.select(*df.columns, "features")
 
 
 class HurdleModel:
-    def __init__(self, zero, quantity, names: list[str]):
-        self.zero, self.quantity, self.names = zero, quantity, names
+    def __init__(self, zero, quantity, names: list[str], codes: dict[str, int] | None = None):
+        self.zero, self.quantity, self.names, self.codes = zero, quantity, names, codes or {}
 
     def score(self, df: DataFrame) -> DataFrame:
         """Adds ``p_zero`` and ``qty_pred`` (at least 0)."""
-        x = self.zero.transform(design(df, self.names)).withColumn("p_zero", vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction")
+        x = self.zero.transform(design(df, self.names, self.codes)).withColumn("p_zero", vector_to_array("probability")[1]).drop("probability", "rawPrediction", "prediction")
         return self.quantity.transform(x).withColumn("qty_pred", F.greatest("prediction", F.lit(0.0))).drop("prediction", "features")
 
     def importance(self, spark) -> DataFrame:
@@ -103,22 +127,32 @@ class HurdleModel:
     def save(self, path: str) -> None:
         self.zero.write().overwrite().save(f"{path}/zero")
         self.quantity.write().overwrite().save(f"{path}/quantity")
+        spark = SparkSession.active()
+        rows = [(i, c, self.codes.get(c)) for i, c in enumerate(self.names)]
+        spark.createDataFrame(rows, "place int, feature string, codes int").coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
 
 
-def load_model(path: str, names: list[str] | None = None) -> HurdleModel:
+def load_model(path: str) -> HurdleModel:
+    """A model as saved, with its features and their codes."""
     from pyspark.ml.classification import GBTClassificationModel
     from pyspark.ml.regression import GBTRegressionModel
 
-    return HurdleModel(GBTClassificationModel.load(f"{path}/zero"), GBTRegressionModel.load(f"{path}/quantity"), names or all_features())
+    rows = SparkSession.active().read.parquet(f"{path}/features").orderBy("place").collect()
+    codes = {r["feature"]: r["codes"] for r in rows if r["codes"] is not None}
+    return HurdleModel(GBTClassificationModel.load(f"{path}/zero"), GBTRegressionModel.load(f"{path}/quantity"), [r["feature"] for r in rows], codes)
 
 
 def train_hurdle(train: DataFrame, validation: DataFrame, names: list[str] | None = None, s: HurdleSpec = HurdleSpec(), y: str = "quantite") -> HurdleModel:
-    """Stage 1 learns y = 0 on all rows, stage 2 absolute error on rows above 0; validation rows stop the rounds early."""
+    """Stage 1 learns y = 0 on all rows, stage 2 absolute error on rows above 0; validation rows stop the rounds early.
+
+    Of stage 2's validation rows, absolute error is WAPE but for a constant factor, so that WAPE decides its rounds.
+    """
     names = names or all_features()
+    codes = categories(train, names, MOST_CODES)
     both = train.withColumn("_val", F.lit(False)).unionByName(validation.withColumn("_val", F.lit(True)))
     target = F.col(y).cast("double")
-    x = design(both, names).select("features", "_val", target.alias("_y"), (target == 0).cast("double").alias("_zero"), F.when(target == 0, s.zero_weight).otherwise(1.0).alias("_w"))
-    common = {"featuresCol": "features", "validationIndicatorCol": "_val", "maxDepth": s.depth, "subsamplingRate": s.row_share, "featureSubsetStrategy": s.feature_share, "seed": SEED, "maxBins": s.bins}
+    x = design(both, names, codes).select("features", "_val", target.alias("_y"), (target == 0).cast("double").alias("_zero"), F.when(target == 0, s.zero_weight).otherwise(1.0).alias("_w"))
+    common = {"featuresCol": "features", "validationIndicatorCol": "_val", "maxDepth": s.depth, "subsamplingRate": s.row_share, "featureSubsetStrategy": s.feature_share, "seed": SEED, "maxBins": max([s.bins, *(n + 1 for n in codes.values())])}
     zero = GBTClassifier(labelCol="_zero", weightCol="_w", maxIter=s.zero_rounds, stepSize=s.zero_step, **common)
     quantity = GBTRegressor(labelCol="_y", lossType="absolute", maxIter=s.quantity_rounds, stepSize=s.quantity_step, **common)
-    return HurdleModel(Pipeline(stages=[zero]).fit(x).stages[0], Pipeline(stages=[quantity]).fit(x.filter("_y > 0")).stages[0], names)
+    return HurdleModel(Pipeline(stages=[zero]).fit(x).stages[0], Pipeline(stages=[quantity]).fit(x.filter("_y > 0")).stages[0], names, codes)

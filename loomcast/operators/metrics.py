@@ -29,6 +29,11 @@ def wape_numpy(y, predicted, s: EvaluationSpec = SPEC) -> float:
     return float(np.abs(y - predicted).sum() / (np.abs(y).sum() + s.wape_epsilon))
 
 
+def wape_feval(predicted, y) -> tuple[str, float, bool]:
+    """(name, value, higher is better), as boosting libraries call a metric of their own."""
+    return "wape", wape_numpy(y, predicted), False
+
+
 def wape_by(df: DataFrame, key: str, y: str = "quantite", predicted: str = "prediction") -> DataFrame:
     """(key, wape, n, sum_actual), worst first."""
     return df.groupBy(key).agg(wape(F.col(y), F.col(predicted)).alias("wape"), F.count("*").alias("n"), F.sum(F.col(y).cast("double")).alias("sum_actual")).orderBy(F.desc("wape"), key)

@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .quality import Expectation, enforce, guard
+from ..sources.tables import remove, replace
+from .quality import Expectation, ExpectationFailed, Watched, guard
 
 
 class GraphError(Exception):
@@ -82,18 +83,35 @@ class Graph:
     def materialize(self, spark: SparkSession, path: str, targets: list[str] | None = None) -> dict[str, list]:
         """Writes each dataset below ``path``, later ones reading the stored earlier ones; the reports of their rules.
 
-        A broken ``fail`` rule raises before its dataset is written.
+        A dataset is computed once: its rules are counted by the write. It is written beside its place and moved there after
+        that, so that a broken ``fail`` rule raises and leaves what was there before.
         """
         made = {n: read(spark) for n, read in self.sources.items()}
         reports = {}
         for name in self.order(targets):
             d = self.datasets[name]
-            df, reports[name] = enforce(d.build(*(made[i] for i in d.inputs)), d.rules)
-            writer = df.write.mode("overwrite")
-            (writer.partitionBy(*d.partition_by) if d.partition_by else writer).parquet(f"{path}/{name}")
-            made[name] = spark.read.parquet(f"{path}/{name}").select(*df.columns)
+            watched = Watched(d.build(*(made[i] for i in d.inputs)), d.rules)
+            place, beside = f"{path}/{name}", f"{path}/_new_{name}"
+            writer = watched.rows.write.mode("overwrite")
+            (writer.partitionBy(*d.partition_by) if d.partition_by else writer).parquet(beside)
+            reports[name] = watched.report()
+            if broken := watched.broken():
+                remove(spark, beside)
+                raise ExpectationFailed(", ".join(broken))
+            replace(spark, beside, place)
+            made[name] = spark.read.parquet(place).select(*watched.rows.columns)
         return reports
 
+    def register_catalog(self, spark: SparkSession, path: str, database: str = "default") -> None:
+        """Catalog tables over the materialised datasets, with their comments and properties."""
+        for name, d in self.datasets.items():
+            quoted = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            listed = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in d.properties.items())
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+            spark.sql(f"CREATE TABLE {database}.{name} USING parquet OPTIONS (path {quoted(f'{path}/{name}')}) COMMENT {quoted(d.comment)}" + (f" TBLPROPERTIES ({listed})" if listed else ""))
+            if d.partition_by:
+                spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+
     def register_tables(self, spark: SparkSession, path: str) -> None:
         """Temporary views of the materialised datasets under their names."""
         for name in self.datasets:

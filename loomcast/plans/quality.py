@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import CleaningSpec
@@ -49,7 +49,7 @@ def drop_failed(df: DataFrame, rules: list[Expectation]) -> DataFrame:
 
 
 def enforce(df: DataFrame, rules: list[Expectation]) -> tuple[DataFrame, list]:
-    """The rows that stay, and the report. A ``fail`` rule that is broken raises before anything is written."""
+    """The rows that stay, and the report, counted by a pass of its own. A ``fail`` rule that is broken raises at once."""
     rows = report(df, rules).collect()  # a row for each rule
     broken = [r["name"] for r in rows if r["action"] == "fail" and r["n_failed"]]
     if broken:
@@ -57,6 +57,23 @@ def enforce(df: DataFrame, rules: list[Expectation]) -> tuple[DataFrame, list]:
     return drop_failed(df, rules), rows
 
 
+class Watched:
+    """A dataset whose rules are counted while it is written: ``rows`` are those that stay, ``report`` is known after the write."""
+
+    def __init__(self, df: DataFrame, rules: list[Expectation]):
+        self.rules, self.seen = rules, Observation() if rules else None
+        counts = [F.count(F.lit(1)).alias("n_rows"), *(F.count_if(~r.holds).alias(f"f{i}") for i, r in enumerate(rules))]
+        self.rows = drop_failed(df.observe(self.seen, *counts) if rules else df, rules)
+
+    def report(self) -> list[dict]:
+        """A dict for each rule: name, action, n_rows, n_failed."""
+        found = self.seen.get if self.rules else {}
+        return [{"name": r.name, "action": r.action, "n_rows": found["n_rows"], "n_failed": found[f"f{i}"]} for i, r in enumerate(self.rules)]
+
+    def broken(self) -> list[str]:
+        return [r["name"] for r in self.report() if r["action"] == "fail" and r["n_failed"]]
+
+
 def guard(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     """Lazy form: ``drop`` rules filter, ``fail`` rules raise while rows are read."""
     for r in rules:

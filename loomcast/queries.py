@@ -14,6 +14,7 @@ from .operators import baselines, billing, cleaning, encoding, features, hurdle,
 from .plans.forecast import forecast_graph
 from .plans.quality import drop_failed, report, rules_for
 from .sources import driver_tables as D
+from .sources.tables import VALIDATION_SCHEMA
 
 KEYS = ["semaine", "code_agence", "code_article"]
 THRESHOLD = 0.5
@@ -37,13 +38,17 @@ def windowed(make: Callable[[], dict], spark: SparkSession, d: str) -> DataFrame
     return rounded(features.with_target(panel(spark, d)).withColumns(made).select(*KEYS, *made))
 
 
+def group_expanding(column: str, prefix: str, spark: SparkSession, d: str) -> DataFrame:
+    made = features.with_group_history(features.with_target(panel(spark, d)), {column: prefix})
+    return rounded(made.select(*KEYS, f"{prefix}_mean", f"{prefix}_median"))
+
+
 def graph(d: str):
     return forecast_graph(lambda s, name: D.raw_table(s, d, name), ForecastSpec(splits=D.SPLITS))
 
 
-def gold(spark: SparkSession, d: str, name: str = "gold_feature_table", *more: str) -> DataFrame:
-    df = graph(d).plan(spark, name)
-    return rounded(df.select(*df.columns[:10], *more) if more else df)
+def gold(spark: SparkSession, d: str, name: str = "gold_feature_table") -> DataFrame:
+    return rounded(graph(d).plan(spark, name))
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
@@ -54,6 +59,11 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
     return known.withColumn("prediction", hurdle.gate(F.col("p_zero"), F.col("qty_pred"), THRESHOLD))
 
 
+def val_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """The stored form of scored validation rows, by the stand-in."""
+    return scored(spark, d).select(*VALIDATION_SCHEMA.names)
+
+
 def week_table(spark: SparkSession, d: str) -> DataFrame:
     weeks = D._read(spark, d, "lineitem", D.week_of(F.col("l_shipdate")).alias("semaine")).distinct()
     return C.add_time_columns(weeks)
@@ -160,8 +170,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trend_yoy": partial(windowed, features.trend_columns),
     "pair_expanding": partial(windowed, features.pair_columns),
     "seasonal_expanding": partial(windowed, features.seasonal_columns),
-    "agency_expanding": partial(windowed, lambda: features.expanding_columns("code_agence", "agence")),
-    "article_expanding": partial(windowed, lambda: features.expanding_columns("code_article", "article")),
+    "agency_expanding": partial(group_expanding, "code_agence", "agence"),
+    "article_expanding": partial(group_expanding, "code_article", "article"),
     "agency_means": group_means,
     "clean_sales": _sales(cleaning.clean_sales),
     "dead_pairs": _sales(cleaning.pair_statistics),
@@ -172,9 +182,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "billing_lagged": lambda s, d: rounded(billing.billing_lagged(D.billing(s, d))),
     "billing_joined": billing_joined,
     "gold_features": gold,
-    "gold_train": lambda s, d: gold(s, d, "gold_train", "lag_52", "pair_mean", "art_specialite_enc"),
-    "gold_validation": lambda s, d: gold(s, d, "gold_validation", "lag_52", "pair_mean", "ag_region_enc"),
-    "gold_test": lambda s, d: gold(s, d, "gold_test_features", "lag_52", "pair_mean", "fac_nb_achats"),
+    "gold_train": lambda s, d: gold(s, d, "gold_train"),
+    "gold_validation": lambda s, d: gold(s, d, "gold_validation"),
+    "gold_test": lambda s, d: gold(s, d, "gold_test_features"),
     "split_overlap": lambda s, d: (lambda t: splits.split_overlap(splits.train_rows(t, D.SPLITS), splits.validation_rows(t, D.SPLITS)))(C.add_time_columns(D.known_sales(s, d))),
     "expectation_report": expectation_report,
     "expect_drop": expect_drop,
@@ -192,6 +202,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logloss": _scored(metrics.log_loss),
     "zero_rate": _scored(metrics.zero_rate),
     "prediction_summary": _scored(metrics.prediction_summary),
+    "val_predictions": val_predictions,
     "impute_short_horizon": impute,
     "hurdle_combine": hurdle_combine,
     "final_predictions": final_predictions,
@@ -205,8 +216,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_region": lambda s, d: profile.profile_region(D.known_sales(s, d), D.agencies(s, d)),
     "pareto_articles": _sales(profile.pareto_items),
     "profile_category": lambda s, d: rounded(profile.profile_category(D.known_sales(s, d), D.articles(s, d), "specialite")),
+    "profile_family": lambda s, d: rounded(profile.profile_category(D.known_sales(s, d), D.articles(s, d), "famille")),
+    "profile_brand": lambda s, d: rounded(profile.profile_category(D.known_sales(s, d), D.articles(s, d), "marque")),
     "share_mdd": lambda s, d: rounded(profile.profile_category(D.known_sales(s, d), D.articles(s, d), "article_mdd")),
-    "coverage_antijoin": lambda s, d: profile.coverage(D.sparse_sales(s, d).filter(F.col("semaine") < "1996-01"), D.weeks_to_predict(s, d)),
+    "coverage_antijoin": lambda s, d: profile.coverage(splits.train_rows(D.sparse_sales(s, d), D.SPLITS), D.weeks_to_predict(s, d)),
     "pair_distribution": _sales(profile.pair_distribution),
     "billing_stats": lambda s, d: rounded(profile.billing_stats(D.billing(s, d))),
     "lag_correlation": _sales(profile.lag_correlation),

@@ -1,14 +1,17 @@
-"""Experiment log and model store in plain files: a JSON row for each run, models below the run's folder."""
+"""Experiment log and model store in plain files: a JSON row for each run, models by name and version, artifacts by run."""
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import claim, write_csv
+
 SCHEMA = "run_id string, parent_id string, experiment string, name string, started timestamp, params string, metrics string, model string, version string"
 
 
@@ -18,10 +21,21 @@ class RunLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def log(self, experiment: str, name: str, params: dict | None = None, metrics: dict | None = None, model: str | None = None, parent: str | None = None, started: datetime | None = None) -> str:
-        """Records a finished run and gives its id. A named model gets the next version."""
-        run = uuid.uuid4().hex
-        version = None if model is None else str(int(self.latest_version(model, missing="0")) + 1)
+    def log(
+        self, experiment: str, name: str, params: dict | None = None, metrics: dict | None = None, model: str | None = None, parent: str | None = None, started: datetime | None = None,
+        save: Callable[[str], None] | None = None, artifacts: dict[str, DataFrame] | None = None, run: str | None = None,
+    ) -> str:
+        """Records a finished run and gives its id.
+
+        A named model gets the next version, which no other run can have, and ``save`` writes it to its :meth:`model_path`.
+        ``artifacts``, tables of bounded size, are kept as CSV. The run is recorded last: what it names is there.
+        """
+        run = run or uuid.uuid4().hex
+        version = None if model is None else self._next_version(model)
+        if save and model:
+            save(self.model_path(model, version))
+        for key, table in (artifacts or {}).items():
+            write_csv(table, self.artifact_path(run, key))
         row = (run, parent, experiment, name, started or datetime.now(timezone.utc).replace(tzinfo=None), json.dumps(params or {}), json.dumps(metrics or {}), model, version)
         self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").json(f"{self.path}/runs")
         return run
@@ -53,5 +67,18 @@ class RunLog:
             raise LookupError(f"no version of {model}")
         return str(v)
 
+    def _next_version(self, model: str) -> str:
+        """The first version above the known ones that this call is first to claim."""
+        n = int(self.latest_version(model, missing="0")) + 1
+        while not claim(self.spark, f"{self.path}/versions/{model}/{n}"):
+            n += 1
+        return str(n)
+
+    def artifact_path(self, run: str, key: str) -> str:
+        return f"{self.path}/artifacts/{run}/{key}"
+
+    def artifact(self, run: str, key: str) -> DataFrame:
+        return self.spark.read.option("header", True).option("inferSchema", True).csv(self.artifact_path(run, key))
+
     def model_path(self, model: str, version: str) -> str:
         return f"{self.path}/models/{model}/{version}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import html
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,36 @@ def save_table(df: DataFrame, name: str, properties: dict[str, str] | None = Non
         df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a written folder to ``target``, in place of what is there."""
+    new, files = _file_system(spark, source)
+    old, _ = _file_system(spark, target)
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Creates an empty file; False if it is there already. Of several callers one succeeds."""
+    where, files = _file_system(spark, path)
+    try:
+        return files.createNewFile(where)
+    except Exception as e:
+        if "FileAlreadyExists" in str(e):
+            return False
+        raise
+
+
 def local_rows(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
@@ -44,6 +76,17 @@ def write_csv(df: DataFrame, path: str, one_file: bool = True) -> None:
     (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
+def csv_text(df: DataFrame, most: int = 1_000_000) -> str:
+    """A bounded result as the text of a CSV file, for a download; raises beyond ``most`` rows."""
+    return small_pandas(df, most).to_csv(index=False)
+
+
+def download_link(df: DataFrame, file_name: str, most: int = 1_000_000) -> str:
+    """An HTML link that holds the CSV itself."""
+    data = base64.b64encode(csv_text(df, most).encode()).decode()
+    return f'<a download="{html.escape(file_name, quote=True)}" href="data:text/csv;base64,{data}">{html.escape(file_name)}</a>'
+
+
 def scalar(df: DataFrame):
     """The first column of the first row; None if there is none."""
     row = df.first()

@@ -144,8 +144,8 @@ _BASE = ", ".join("round(quantite_smooth, 6) as quantite_smooth" if c == "quanti
 _FEATURES = ", ".join(c if c in INTEGERS else f"round(cast({c} as double), 6) as {c}" for c in all_features())
 
 
-def gold_split(where: str, *more: str) -> str:
-    return f"with {GOLD} select {_BASE}, {', '.join(c if c in INTEGERS else f'round({c}, 6) as {c}' for c in more)} from gold where {where}"
+def gold_split(where: str) -> str:
+    return f"with {GOLD} select {_BASE}, {_FEATURES} from gold where {where}"
 
 
 SCORED = PANEL + f"""
@@ -219,9 +219,9 @@ SQL: dict[str, str] = {
     "billing_lagged": _with(SALES + DIMENSIONS, "select code_agence, code_article, _join_annee, _join_mois, round(fac_prix_unit, 6) as fac_prix_unit, round(fac_pct_pro, 6) as fac_pct_pro, fac_nb_chantiers, fac_nb_achats from lagged"),
     "billing_joined": _with(SALES + DIMENSIONS, f"select d.semaine, d.code_agence, d.code_article, round(fac_prix_unit, 6) as fac_prix_unit, round(fac_pct_pro, 6) as fac_pct_pro, fac_nb_chantiers, fac_nb_achats from (select *, {MONTH} as m from dense) d left join lagged l on d.code_agence = l.code_agence and d.code_article = l.code_article and d.annee = l._join_annee and d.m = l._join_mois"),
     "gold_features": f"with {GOLD} select {_BASE}, {_FEATURES} from gold",
-    "gold_train": gold_split("semaine < '2001-01' and quantite is not null", "lag_52", "pair_mean", "art_specialite_enc"),
-    "gold_validation": gold_split("semaine between '2001-01' and '2001-22' and quantite is not null", "lag_52", "pair_mean", "ag_region_enc"),
-    "gold_test": gold_split("semaine between '2001-23' and '2001-44'", "lag_52", "pair_mean", "fac_nb_achats"),
+    "gold_train": gold_split("semaine < '2001-01' and quantite is not null"),
+    "gold_validation": gold_split("semaine between '2001-01' and '2001-22' and quantite is not null"),
+    "gold_test": gold_split("semaine between '2001-23' and '2001-44'"),
     "split_overlap": _with(SALES, "select max(week_id) filter (where semaine < '2001-01') as train_max, min(week_id) filter (where semaine >= '2001-01') as val_min, max(week_id) filter (where semaine < '2001-01') < min(week_id) filter (where semaine >= '2001-01') as disjoint from ventes"),
     "expectation_report": _with(CLEAN, " union all ".join(f"select '{n}' as name, '{a}' as action, count(*) as n_rows, count(*) filter (where not coalesce({p}, false)) as n_failed from cleaned" for n, a, p in _RULES)),
     "expect_drop": _with(SALES, "select code_agence, count(*) as n from ventes where code_agence <> 3 group by 1"),
@@ -238,6 +238,7 @@ SQL: dict[str, str] = {
     "best_threshold": _with(SCORED, f"select * from ({_SWEEP}) order by wape, threshold limit 1"),
     "logloss": _with(SCORED, "select round(avg(-case when quantite = 0 then ln(p) else ln(1 - p) end), 6) as logloss from (select quantite, least(greatest(p_zero, 1e-7), 1 - 1e-7) as p from scored)"),
     "zero_rate": _with(SCORED, "select round(avg(cast(quantite = 0 as double)), 6) as zero_rate from scored"),
+    "val_predictions": _with(SCORED, f"select {KEYS}, quantite, p_zero, qty_pred, prediction from scored"),
     "prediction_summary": _with(SCORED, "select count(*) as n, count(*) filter (where prediction > 0) as n_positive, round(avg(prediction), 6) as mean_prediction from scored"),
     "impute_short_horizon": f"with {PANEL} made as (select semaine, code_agence, code_article, {listed(_IMPUTED)} from panel) select * from made where semaine between '2001-23' and '2001-44'",
     "hurdle_combine": _with(SCORED, f"select {KEYS}, {_GATE('0.5')} as gated, cast(greatest(round(qty_pred), 0) as bigint) as half_up, cast(greatest(round_even(qty_pred, 0), 0) as bigint) as half_even from scored"),
@@ -251,8 +252,10 @@ SQL: dict[str, str] = {
     "profile_region": _with(SALES + DIMENSIONS, "select region, cast(sum(quantite) as bigint) as volume, count(distinct code_agence) as n_agences from ventes join agences using (code_agence) group by 1"),
     "pareto_articles": _with(SALES, ", v as (select code_article, sum(quantite) as volume from ventes group by 1), r as (select *, coalesce(sum(volume) over (order by volume desc, code_article rows between unbounded preceding and 1 preceding), 0) as before, sum(volume) over () as total from v) select count(*) filter (where before < total * 0.8) as n_items_80, count(*) as n_items from r"),
     "profile_category": _PROFILE("specialite"),
+    "profile_family": _PROFILE("famille"),
+    "profile_brand": _PROFILE("marque"),
     "share_mdd": _PROFILE("article_mdd"),
-    "coverage_antijoin": _with(SALES, ", tr as (select * from sparse where semaine < '1996-01'), te as (select * from dense where semaine between '2001-23' and '2001-44') " + " union all ".join(f"select '{n}' as level, (select count(*) from (select distinct {k} from tr)) as n_train, (select count(*) from (select distinct {k} from te)) as n_test, (select count(*) from (select distinct {k} from te except select distinct {k} from tr)) as n_cold" for n, k in (("pair", "code_agence, code_article"), ("code_agence", "code_agence"), ("code_article", "code_article")))),
+    "coverage_antijoin": _with(SALES, ", tr as (select * from sparse where semaine < '2001-01'), te as (select * from dense where semaine between '2001-23' and '2001-44') " + " union all ".join(f"select '{n}' as level, (select count(*) from (select distinct {k} from tr)) as n_train, (select count(*) from (select distinct {k} from te)) as n_test, (select count(*) from (select distinct {k} from te except select distinct {k} from tr)) as n_cold" for n, k in (("pair", "code_agence, code_article"), ("code_agence", "code_agence"), ("code_article", "code_article")))),
     "pair_distribution": _with(SALES, ", p as (select sum(quantite) as s, avg(quantite) as a, avg(cast(quantite = 0 as double)) as z, count(*) filter (where quantite > 0) as n from ventes group by code_agence, code_article) select count(*) as n_pairs, count(*) filter (where s = 0) as n_dead, count(*) filter (where z > 0.9) as n_mostly_zero, count(*) filter (where a > 10) as n_over_10, count(*) filter (where a > 100) as n_over_100, count(*) filter (where n = 1) as n_single_week from p"),
     "billing_stats": _with(SALES + DIMENSIONS, ", priced as (select *, case when sum_quantite <> 0 then sum_montant / sum_quantite end as prix_unit from facturation) " + " union all ".join(f"select '{c}' as measure, round(quantile_cont(cast({c} as double), 0.5), 6) as median, round(avg({c}), 6) as mean, round(cast(max({c}) as double), 6) as max from priced" for c in ("nb_achats", "sum_quantite", "sum_montant", "prix_unit"))),
     "lag_correlation": _with(SALES, ", l as (select cast(quantite as double) as y, " + ", ".join(f"lag(cast(quantite as double), {n}) over ({PAIR}) as l{n}" for n in (1, 4, 12, 26, 52)) + " from ventes) " + " union all ".join(f"select {n} as lag, round(corr(y, l{n}), 6) as correlation, count(l{n}) as n from l" for n in (1, 4, 12, 26, 52))),

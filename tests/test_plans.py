@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomcast.config import ForecastSpec, SplitSpec
-from loomcast.operators import hurdle
+from loomcast.operators import hurdle, metrics
+from loomcast.plans import training
 from loomcast.plans.forecast import SOURCES, forecast_graph
 from loomcast.plans.graph import Graph, GraphError
 from loomcast.plans.quality import Expectation, ExpectationFailed, drop_failed, enforce, guard, report
@@ -119,4 +120,44 @@ def test_hurdle_trains_scores_and_reloads(spark, tmp_path):
     assert scored.filter("a = 0").agg(F.avg("p_zero")).first()[0] > scored.filter("a = 1").agg(F.avg("p_zero")).first()[0]
     assert model.importance(spark).count() == 4
     model.save(str(tmp_path / "m"))
-    assert hurdle.load_model(str(tmp_path / "m"), ["a", "b"]).score(df).count() == 200
+    again = hurdle.load_model(str(tmp_path / "m"))
+    assert again.names == ["a", "b"] and again.score(df).count() == 200
+
+
+def test_training_run_writes_models_reports_and_predictions(spark, tmp_path):
+    data = raw_tables(spark)
+    g = forecast_graph(lambda s, n: data[n], ForecastSpec(splits=SPLITS))
+    log, path = RunLog(spark, str(tmp_path / "log")), str(tmp_path / "t")
+    spec = hurdle.HurdleSpec(zero_rounds=1, quantity_rounds=1, depth=2)
+    final = training.run(spark, g, path, log, ["lag_1", "pair_mean", "art_specialite_enc", "ag_region_enc"], spec)
+    assert final.columns == ["semaine", "code_agence", "code_article", "prediction"] and final.count() == 4 and final.filter("prediction < 0").count() == 0
+    stored = spark.read.parquet(f"{path}/val_predictions")
+    assert [(f.name, f.dataType) for f in stored.schema] == [(f.name, f.dataType) for f in tables.VALIDATION_SCHEMA] and stored.count() == 4
+    trained = log.latest(training.EXPERIMENT, "train")
+    assert trained["model"] == training.MODEL and trained["version"] == "1" and trained["params"]["n_features"] == 4 and trained["metrics"]["val_wape"] >= 0
+    assert log.artifact(trained["run_id"], "threshold_sweep").count() == 11 and log.artifact(trained["run_id"], "importance").count() == 8
+    assert hurdle.load_model(log.model_path(training.MODEL, "1")).codes == {"art_specialite_enc": 2, "ag_region_enc": 1}
+    assert log.latest(training.EXPERIMENT, "inference")["metrics"]["n_test_rows"] == 4
+    g.register_catalog(spark, path)
+    assert spark.table("default.gold_train").count() == 12 and spark.table("default.gold_feature_table").count() == 20
+    shown = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES default.gold_train").collect()}
+    assert shown["quality"] == "gold"
+    for name in g.datasets:
+        spark.sql(f"DROP TABLE default.{name}")
+
+
+def test_a_broken_rule_leaves_the_earlier_dataset(spark, tmp_path):
+    good = raw_tables(spark)
+    forecast_graph(lambda s, n: good[n], ForecastSpec(splits=SPLITS)).materialize(spark, str(tmp_path / "k"))
+    leaked = raw_tables(spark, leak=True)
+    with pytest.raises(ExpectationFailed):
+        forecast_graph(lambda s, n: leaked[n], ForecastSpec(splits=SPLITS)).materialize(spark, str(tmp_path / "k"))
+    assert spark.read.parquet(str(tmp_path / "k/gold_test_features")).count() == 4 and not list(tmp_path.glob("k/_new_*"))
+
+
+def test_versions_are_claimed_once(spark, tmp_path):
+    path = str(tmp_path / "v" / "1")
+    assert tables.claim(spark, path) and not tables.claim(spark, path)
+    assert metrics.wape_feval([1.0, 2.0], [1.0, 4.0]) == ("wape", pytest.approx(0.4), False)
+    link = tables.download_link(spark.range(2), "a.csv")
+    assert 'download="a.csv"' in link and "aWQKMAoxCg==" in link
