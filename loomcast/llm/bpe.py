@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import heapq
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -278,52 +277,96 @@ def merge_all(ranks: Ranks, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
 
 
 class Memo:
-    """Ids of the pre-tokens met so far in this Python worker, found by their bytes.
+    """Ids of the pre-tokens met so far in this Python worker, in flat arrays: found by a hash, compared byte by byte.
 
     It only saves work: a pre-token that it lacks is encoded. One over ``longest`` bytes is not kept; at ``most`` pre-tokens
-    or four times as many ids it starts afresh. Both bound its memory, whatever the texts are like.
+    it starts afresh. Both bound its memory (about 100 bytes for each), whatever the texts are like.
     """
 
-    def __init__(self, encode, most: int = 300_000, longest: int = 48):
-        self.encode, self.most, self.longest = encode, most, longest
+    #: A random number for each byte at each place; a word's hash is their sum.
+    PLACES = 64
+    TABLE = np.random.default_rng(7).integers(0, 1 << 64, (PLACES, 256), np.uint64)
+
+    def __init__(self, encode, most: int = 1_000_000, longest: int = PLACES):
+        self.encode, self.most, self.longest = encode, most, min(longest, self.PLACES)
         self.clear()
 
     def clear(self) -> None:
-        self.rows: dict[bytes, int] = {}
-        self.begin, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
-        self.flat, self.used = np.zeros(1 << 14, np.int32), 0
+        self.key, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # ascending by key
+        self.rows = self.text_used = self.used = 0
+        self.text, self.start, self.size = np.zeros(1 << 14, np.uint8), np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.uint8)
+        self.flat, self.begin, self.length = np.zeros(1 << 14, np.int32), np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.uint8)
+
+    def known(self, data: np.ndarray, offsets: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Row of each word; -1 of those that are not kept."""
+        row = np.full(len(key), -1, np.int64)
+        if not self.rows:
+            return row
+        at = np.minimum(np.searchsorted(self.key, key), self.rows - 1)
+        same = np.flatnonzero(self.key[at] == key)
+        found = self.row[at[same]]
+        fits = self.size[found] == size[same]
+        same, found = same[fits], found[fits]
+        if len(same):
+            n = size[same]
+            differs = data[ranges(offsets[same], n)] != self.text[ranges(self.start[found], n)]
+            equal = ~np.logical_or.reduceat(differs, np.cumsum(n) - n)
+            row[same[equal]] = found[equal]
+        return row
 
     def find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(begin, length) in ``flat`` of each of the distinct non-empty ``words``; good until the next call."""
-        if len(self.rows) > self.most or self.used > 4 * self.most:
+        if self.rows > self.most:
             self.clear()
-        elif len(self.flat) > 16 * self.most:  # what a very long pre-token took
-            self.flat = self.flat[: 4 * self.most].copy()
+        elif len(self.flat) > 8 * self.most:  # what a very long pre-token took
+            self.flat = self.flat[: self.used].copy()
         data, offsets = text_bytes(words)
-        names = words.to_pylist()
-        row = np.fromiter(map(self.rows.get, names, repeat(-1)), np.int64, len(names))
-        begin, length = self.begin[row], self.length[row]
+        size = np.diff(offsets)
+        short = np.flatnonzero(size <= self.longest)
+        key = np.zeros(len(size), np.uint64)
+        if len(short):
+            n = size[short]
+            bytes_ = data if len(short) == len(size) else data[ranges(offsets[short], n)]
+            key[short] = np.add.reduceat(self.TABLE.ravel()[ranges(np.zeros(len(n), np.int64), n) * 256 + bytes_], np.cumsum(n) - n)
+        row = np.full(len(size), -1, np.int64)
+        row[short] = self.known(data, offsets[short], n, key[short]) if len(short) else -1
+        begin, length = self.begin[row].astype(np.int64), self.length[row].astype(np.int64)
         miss = np.flatnonzero(row < 0)
         if len(miss):
-            size = offsets[miss + 1] - offsets[miss]
-            short_first = np.argsort(size > self.longest, kind="stable")
-            miss, size = miss[short_first], size[short_first]
-            ids, cut = self.encode(data[ranges(offsets[miss], size)], np.concatenate([[0], np.cumsum(size)]))
+            miss = miss[np.argsort(size[miss] > self.longest, kind="stable")]  # those to keep come first
+            n = size[miss]
+            raw = data[ranges(offsets[miss], n)]
+            ids, cut = self.encode(raw, np.concatenate([[0], np.cumsum(n)]))
             self.flat = self.room(self.flat, self.used + len(ids))
             self.flat[self.used : self.used + len(ids)] = ids
             begin[miss], length[miss] = self.used + cut[:-1], np.diff(cut)
-            kept = miss[: int((size <= self.longest).sum())]
-            first = len(self.rows)
-            self.begin, self.length = self.room(self.begin, first + len(kept)), self.room(self.length, first + len(kept))
-            self.begin[first : first + len(kept)], self.length[first : first + len(kept)] = begin[kept], length[kept]
-            self.rows.update(zip([names[i] for i in kept.tolist()], range(first, first + len(kept)), strict=True))
-            self.used += min(int(cut[len(kept)]), len(ids))
+            kept = int((n <= self.longest).sum())
+            self.keep(key[miss[:kept]], raw[: int(n[:kept].sum())], n[:kept], begin[miss[:kept]], length[miss[:kept]])
+            self.used += int(cut[kept])
         return begin, length
 
+    def keep(self, key: np.ndarray, raw: np.ndarray, size: np.ndarray, begin: np.ndarray, length: np.ndarray) -> None:
+        """Adds words; of those that share a hash, one."""
+        if not len(key):
+            return
+        new, one = np.unique(key, return_index=True)
+        at = np.searchsorted(self.key, new)
+        fresh = np.ones(len(new), bool) if not self.rows else self.key[np.minimum(at, self.rows - 1)] != new
+        first, last = self.rows, self.rows + int(fresh.sum())
+        one, n = one[fresh], size[one[fresh]]
+        self.key, self.row = np.insert(self.key, at[fresh], new[fresh]), np.insert(self.row, at[fresh], np.arange(first, last))
+        self.text = self.room(self.text, self.text_used + int(n.sum()))
+        self.text[self.text_used : self.text_used + int(n.sum())] = raw[ranges((np.cumsum(size) - size)[one], n)]
+        for name, values in (("start", self.text_used + np.cumsum(n) - n), ("size", n), ("begin", begin[one]), ("length", length[one])):
+            array = self.room(getattr(self, name), last)
+            array[first:last] = values
+            setattr(self, name, array)
+        self.rows, self.text_used = last, self.text_used + int(n.sum())
+
     @staticmethod
     def room(array: np.ndarray, n: int) -> np.ndarray:
         """``array`` with room for ``n``."""
-        return array if n <= len(array) else np.concatenate([array, np.zeros(max(len(array), n - len(array)), array.dtype)])
+        return array if n <= len(array) else np.concatenate([array, np.zeros(max(len(array) // 2, n - len(array)), array.dtype)])
 
     def ids(self, data: np.ndarray, offsets: np.ndarray, split=pieces) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts, concatenated, and their n + 1 offsets."""

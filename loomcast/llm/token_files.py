@@ -30,27 +30,52 @@ from pyspark.sql import functions as F
 
 from . import rans
 from .bpe import Memo
-from .common import binary_array, discard, documents, scratch, slices, split_count, stored, text_bytes
-from .token_counts import library, pieces_with_specials, texts_of
+from .common import binary_array, discard, documents, ranges, scratch, slices, split_count, stored, text_bytes
+from .token_counts import library, pieces_with_specials, specials, texts_of
 
 BLOCK_IDS = 1 << 19
-#: Ids of a part at about 64 MB, bytes of text encoded at a time, and pre-tokens that the library encodes at a time.
-PART_IDS, SLICE_BYTES, LIBRARY_WORDS = 1 << 25, 12 << 20, 1 << 14
+#: Ids of a part at about 64 MB, bytes of text encoded at a time, and pre-tokens that the library encodes in a call or in a text.
+PART_IDS, SLICE_BYTES, LIBRARY_WORDS, JOINED_WORDS = 1 << 25, 12 << 20, 1 << 14, 1 << 10
 BLOCKS = (
     "part int, block int, start bigint, n_ids bigint, doc_ids array<bigint>, doc_tokens array<bigint>, words binary, states binary, places array<bigint>, crc32 bigint"
 )
 
 
+def library_ids(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pre-tokens by the library, concatenated, and how many each has.
+
+    Most begin with U+0020 before something else. The library cuts a text of such ones into just these, so that it gets
+    many at a time; should it not, and for all others, it gets each by itself.
+    """
+    count = np.zeros(len(words), np.int64)
+    joinable = not any(s.startswith(b" ") for s in specials(path))
+    spaced = [i for i, w in enumerate(words) if joinable and len(w) > 1 and w[0] == " " and not w[1].isspace()]
+    parts, alone = [], sorted(set(range(len(words))).difference(spaced))
+    for a in range(0, len(spaced), JOINED_WORDS):
+        some = spaced[a : a + JOINED_WORDS]
+        made = library(path).encode("".join(words[i] for i in some), add_special_tokens=False)
+        own = np.bincount(np.array(made.word_ids, np.int64), minlength=len(some))
+        if len(own) != len(some) or not own.all():
+            alone = sorted([*alone, *some])
+            continue
+        count[some] = own
+        parts.append((some, np.array(made.ids, np.int32)))
+    for a in range(0, len(alone), LIBRARY_WORDS):  # its results are large, so few are held at a time
+        some = alone[a : a + LIBRARY_WORDS]
+        found = [e.ids for e in library(path).encode_batch_fast([words[i] for i in some], add_special_tokens=False)]
+        count[some] = [len(i) for i in found]
+        parts.append((some, np.fromiter(itertools.chain.from_iterable(found), np.int32)))
+    ids, start = np.zeros(int(count.sum()), np.int32), np.cumsum(count) - count
+    for some, made in parts:
+        ids[ranges(start[some], count[some])] = made
+    return ids, count
+
+
 @lru_cache(maxsize=2)
 def id_memo(path: str) -> Memo:
     def encode(data, offsets):
-        found, cut = [], offsets.tolist()
-        for a in range(0, len(cut) - 1, LIBRARY_WORDS):  # the library's results are large, so few are held at a time
-            b = min(a + LIBRARY_WORDS, len(cut) - 1)
-            texts = texts_of(data[cut[a] : cut[b]], offsets[a : b + 1] - cut[a])
-            found += [e.ids for e in library(path).encode_batch_fast(texts, add_special_tokens=False)]
-        size = np.concatenate([[0], np.cumsum([len(i) for i in found])]).astype(np.int64)
-        return np.fromiter(itertools.chain.from_iterable(found), np.int32, int(size[-1])), size
+        ids, count = library_ids(path, texts_of(data, offsets))
+        return ids, np.concatenate([[0], np.cumsum(count)])
 
     return Memo(encode)
 
