@@ -153,16 +153,19 @@ def chunk_shingles(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray
         yield first, *sh.shingles(data, offsets, size)
 
 
-def distinct_of(table: pa.Table, size: int) -> tuple[list, np.ndarray, np.ndarray]:
-    """The shingles of each slice of a chunk; all distinct ones, ascending; how many documents of the chunk have each."""
+def distinct_of(table: pa.Table, size: int) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+    """The shingles of each slice of a chunk; all distinct ones, ascending; the place among these of each; how many documents have each."""
     found = list(chunk_shingles(table.column("_text").combine_chunks(), size))
     copies = table.column("copies").to_numpy()
     every = np.concatenate([h for _, h, _, _ in found])
     times = np.concatenate([np.repeat(copies[first : first + len(cut) - 1], np.diff(cut)) for first, _, _, cut in found])
-    order = np.argsort(every, kind="stable")
+    order = np.argsort(every)
     every = every[order]
-    head = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-    return found, every[head], np.add.reduceat(times[order], head)
+    new = np.concatenate([[True], every[1:] != every[:-1]])
+    head = np.flatnonzero(new)
+    place = np.empty(len(every), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return found, every[head], place, np.add.reduceat(times[order], head)
 
 
 def frequencies(chunks: Chunks, size: int) -> DataFrame:
@@ -171,7 +174,7 @@ def frequencies(chunks: Chunks, size: int) -> DataFrame:
     edges = np.array([(k << 64) // n for k in range(1, n)], np.uint64)
 
     def ask(table: pa.Table) -> pa.Table:
-        _, x, times = distinct_of(table, size)
+        _, x, _, times = distinct_of(table, size)
         cut = np.concatenate([[0], np.searchsorted(x, edges), [len(x)]])
         some = np.flatnonzero(np.diff(cut))
         rows = [(int(k), _differences(x[cut[k] : cut[k + 1]]), _small(times[cut[k] : cut[k + 1]])) for k in some]
@@ -183,7 +186,7 @@ def frequencies(chunks: Chunks, size: int) -> DataFrame:
         each = np.array([len(x) for x in asked])
         x, times = np.concatenate(asked), np.concatenate([_counts(t.as_py()) for t in table.column("times")])
         del asked
-        order = np.argsort(x, kind="stable")
+        order = np.argsort(x)
         x = x[order]
         new = np.concatenate([[True], x[1:] != x[:-1]])
         df = np.empty(len(x), np.int64)
@@ -200,12 +203,13 @@ def signatures(chunks: Chunks, total: int, bands: int, rows: int, size: int) ->
     """(chunk, node, copies, bands, dfs): the samples of each node; document frequencies of its distinct shingles, ascending by hash."""
 
     def sign(table: pa.Table, answers: pa.Table) -> pa.Table:
-        found, x, _ = distinct_of(table, size)
+        found, _, place, _ = distinct_of(table, size)
         order = np.argsort(answers.column("range").to_numpy())
         df = np.concatenate([_counts(answers.column("dfs")[int(i)].as_py()) for i in order])
-        made = []
+        made, at = [], 0
         for first, h, n, cut in found:
-            own = df[np.searchsorted(x, h)]
+            own = df[place[at : at + len(h)]]
+            at += len(h)
             made.append(pa.table([
                 *(table.column(c).combine_chunks().slice(first, len(cut) - 1) for c in ("chunk", "node", "copies")),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(cut)) * bands, pa.int32()), pa.array(sh.weighted_samples(h, sh.weights(total, n, own), cut, bands, rows).ravel().view(np.int64))),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .common import ranges
+from .common import order_within, ranges
 
 SIZE = 5
 _WORD = np.zeros(256, bool)
@@ -88,7 +88,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SIZE) -> tuple[n
             h[bounds[i]] = s + np.uint64(n[i])
         all_ = mix(h[ranges(bounds[:-1], count)])
     own = np.repeat(np.arange(len(n)), count)
-    order = np.lexsort((all_, own))
+    order = order_within(own, all_)
     all_, own = all_[order], own[order]
     new = np.ones(len(all_), bool)
     new[1:] = (all_[1:] != all_[:-1]) | (own[1:] != own[:-1])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, ranges, slices, split_count, text_bytes
+from .common import documents, order_within, ranges, slices, split_count, text_bytes
 
 DEPTH, GRAM = 100, 32
 #: Anchors that a map task compares among themselves before it sends them on, and windows that are sorted at a time.
@@ -85,7 +85,7 @@ def shared_positions(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> D
             if not rows:
                 return None
             rows, pos, h = np.concatenate(rows), np.concatenate(pos), np.concatenate(h)
-            order = np.argsort(h, kind="stable")
+            order = np.argsort(h)
             s = h[order]
             same = np.zeros(len(s), bool)
             same[1:] = s[1:] == s[:-1]
@@ -150,7 +150,7 @@ def repeated(buffer: np.ndarray, starts: np.ndarray, depth: int = DEPTH) -> np.n
     if digits[-1] != depth - 8:
         digits.append(depth - 8)
     first = v[starts]
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     new = np.ones(len(order), bool)
     new[1:] = first[order][1:] != first[order][:-1]
 
@@ -171,11 +171,14 @@ def repeated(buffer: np.ndarray, starts: np.ndarray, depth: int = DEPTH) -> np.n
             mixed = np.zeros(group[-1] + 1, bool)
             mixed[group[differs]] = True
             inside = np.flatnonzero(mixed[group])
-            sort = np.lexsort((d[inside], group[inside]))  # stable: document order stays within equal digits
+            sort = order_within(np.cumsum(np.diff(group[inside], prepend=group[inside[0]]) != 0), d[inside])
             order[inside], d[inside] = order[inside][sort], d[inside][sort]
             new[1:] |= d[1:] != d[:-1]
             order, new = compact(order, new)
-    out[order[~new]] = True
+    if len(order):  # of each group, all but the earliest
+        head = np.flatnonzero(new)
+        out[order] = True
+        out[np.minimum.reduceat(order, head)] = False
     return out
 
 
@@ -229,7 +232,9 @@ def removed_ranges(docs: DataFrame, doc: str, depth: int = DEPTH, gram: int = GR
                     done.add(name)
                 keep &= fresh[own]
                 p, h, lo, hi, own = (x[keep] for x in (p, h, lo, hi, own))
-                order = np.lexsort((p, row[first:end][own], doc[first:end][own]))
+                rank = np.empty(end - first, np.int64)  # of the slice's texts, by document
+                rank[np.lexsort((row[first:end], doc[first:end]))] = np.arange(end - first)
+                order = np.argsort(rank[own] << 32 | p)
                 p, h, lo, hi, own = (x[order] for x in (p, h, lo, hi, own))
                 raw = data.tobytes()
                 segments = [raw[a : b + depth] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
