@@ -43,10 +43,12 @@ def first_documents(lines: DataFrame, by: list[str], parts: int) -> DataFrame:
 def dropped_lines(docs: DataFrame, shortest: int = SHORTEST, salts: int = SALTS, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(``_row``, ``_row2``, ``pos``) of each line to drop; the first two are a 128-bit key of doc_id and text."""
     parts = split_count(docs.sparkSession)
-    lines = docs.select(
+    # Keys are made before lines are taken apart: beside the generator they would be made anew, of the whole text, for each line.
+    whole = docs.select(
         F.xxhash64(doc, text).alias("_row"), F.xxhash64(F.lit(1), F.col(doc), F.col(text)).alias("_row2"),
-        F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)).alias("_doc"), F.posexplode(lines_of(F.col(text))).alias("pos", "_line"),
+        F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)).alias("_doc"), F.col(text).alias("_text"),
     )
+    lines = whole.select("_row", "_row2", "_doc", F.posexplode(lines_of(F.col("_text"))).alias("pos", "_line"))
     keyed = lines.select("_row", "_row2", "_doc", "pos", line_key(F.col("_line")).alias("_line")).filter(F.char_length("_line") >= shortest)
     hashed = keyed.select("_row", "_row2", "_doc", "pos", F.xxhash64("_line").alias("_h"), F.xxhash64(F.lit(1), F.col("_line")).alias("_h2"), F.pmod(F.xxhash64(F.lit(2), F.col("_doc")), F.lit(salts)).cast("short").alias("_salt"))
     local = first_documents(hashed, ["_h", "_h2", "_salt"], parts)
