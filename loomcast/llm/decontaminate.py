@@ -95,7 +95,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc: str = "do
     tried = F.transform("_at", lambda at: F.concat(*(nearby(at, m, w) for m, w in shapes))) if shapes else F.array().cast("array<array<struct<start:int,w:int,window:string>>>")
     # Of the documents that have a run, once each.
     again = docs.select(*keys_of(doc, text), F.col(text).alias("_text")).join(F.broadcast(places) if few else places, ["_key", "_key2"])
-    each = again.select("_key", "_key2", "_at", words_of(F.col("_text")).alias("_words")).select("_key", "_key2", F.inline(F.array_distinct(F.flatten(tried))))
+    each = again.select("_key", "_key2", "_at", words_of(F.col("_text")).alias("_words")).select("_key", "_key2", F.inline(F.flatten(tried)))
     found = met(each, keyed, ["w", "window"], F.octet_length("window") + 24 * F.size("ids") + 32, broadcast_bytes)
     grouped = found.groupBy("_key", "_key2").agg(
         F.collect_set(F.struct("start", (F.col("start") + F.col("w")).alias("stop"))).alias("_hits"),
