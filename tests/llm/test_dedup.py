@@ -101,6 +101,76 @@ def test_repeated_rows_without_words_stay(spark):
     assert sorted(r["doc_id"] for r in neardup.one_of_each(frame(spark, rows)).collect()) == [1, 1, 2, 3, 3]
 
 
+def test_words_that_collide_in_polynomial_hashes_are_no_copies(spark):
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word + "!"), (4, "x" * 130), (5, "x" * 66), (6, "x" * 2 + "y" + "x" * 127)]
+    found = neardup.near_duplicates(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["class_id"]) for r in found) == [(1, 1), (2, 2), (3, 1), (4, 4), (5, 5), (6, 6)]
+
+
+def test_near_copies_of_megabytes(spark):
+    rnd = random.Random(5)
+    base = [f"w{rnd.randint(0, 10**6)}" for _ in range(300_000)]
+    other = list(base)
+    for i in range(0, len(other), 100):
+        other[i] = f"edit{i}"
+    rows = [(1, " ".join(base)), (2, " ".join(other)), (3, " ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(200_000))), (4, "short text")]
+    found = neardup.near_duplicates(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["class_id"]) for r in found) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs of texts by twos, from just over the threshold up; nearly all must be found."""
+    rnd = random.Random(15)
+    rows = []
+    for k in range(300):
+        words = [f"p{k}x{i}" for i in range(200)]
+        other = list(words)
+        for i in rnd.sample(range(len(words)), rnd.choice([1, 2, 3])):
+            other[i] = f"e{k}x{i}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    classes = brute_classes(rows)
+    linked = [k for k in range(300) if classes[2 * k] == classes[2 * k + 1]]
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(frame(spark, rows)).collect()}
+    assert len(linked) > 200 and sum(got[2 * k] == got[2 * k + 1] for k in linked) >= 0.99 * len(linked)
+    assert all(got[2 * k] != got[2 * k + 1] for k in set(range(300)) - set(linked))
+
+
+@pytest.mark.parametrize("name", ["d", "_r", "_row", "_doc", "row", "worded", "c0", "label"])
+def test_columns_of_any_name_pass_through(spark, name):
+    df = spark.createDataFrame([(1, "one two three four five six", "m"), (2, "one two three four five six", "n"), (3, None, "o")], f"doc_id long, text string, `{name}` string")
+    assert sorted((r["doc_id"], r[name]) for r in neardup.one_of_each(df).collect()) == [(1, "m"), (3, "o")]
+    marked = line_dedup.with_bitmaps(df)
+    assert marked.columns == [*df.columns, "keep", "n_dropped"] and sorted(r[name] for r in marked.collect()) == ["m", "n", "o"]
+    found = decontaminate.contamination(df, spark.createDataFrame([(1, "one two")], "item_id long, text string"), keep=("text", name))
+    assert sorted((r[name], len(r["spans"])) for r in found.collect()) == [("m", 1), ("n", 1), ("o", 0)]
+
+
+def test_documents_of_very_many_lines(spark):
+    lines = [f"line number {i}" for i in range(200_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(reversed(lines))), (3, "\n".join(["own line of three", *lines[:5]]))]
+    marked = line_dedup.with_bitmaps(frame(spark, rows)).withColumn("kept", line_dedup.kept_text(F.col("text"), F.col("keep")))
+    got = {r["doc_id"]: (r["n_dropped"], r["kept"]) for r in marked.select("doc_id", "n_dropped", "kept").collect()}
+    assert got == {1: (0, rows[0][1]), 2: (200_000, ""), 3: (5, "own line of three")}
+
+
+def test_benchmark_in_texts_of_megabytes(spark):
+    item = " ".join(f"bench{i}" for i in range(30))
+    body = " ".join(f"w{i}" for i in range(400_000))
+    rows = [(1, f"{body} {item} {body}"), (2, body), (3, " ".join([item] * 20_000))]
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = decontaminate.contamination(frame(spark, rows), bench, keep=("text",)).withColumn("clean", decontaminate.without_spans(F.col("text"), F.col("spans")))
+    got = {r["doc_id"]: (len(r["spans"]), r["n"]) for r in found.select("doc_id", "spans", F.length("clean").alias("n")).collect()}
+    assert got == {1: (1, 2 * len(body) + 1), 2: (0, len(body)), 3: (1, 0)}
+
+
+def test_repeats_in_texts_of_megabytes(spark):
+    rnd = random.Random(8)
+    a, b = ("".join(rnd.choice("abcdefgh ") for _ in range(1_000_000)) for _ in range(2))
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in substring_dedup.dedup(frame(spark, [(1, a), (2, b + a[1000:900_000] + b[:5000])])).collect()}
+    assert got[1] == (0, 0, a.encode()) and got[2] == (904_000, 1, b.encode())
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     rng = np.random.default_rng(3)
     base = np.sort(rng.integers(1, 1 << 62, 300, np.uint64))

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -123,6 +124,103 @@ def test_shards(spark, tmp_path):
     assert shards.shard(df.filter("false")).count() == 0
 
 
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+def complement(word):
+    return word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_collide_in_polynomial_hashes(spark):
+    """The two words have equal polynomial hashes modulo 2**64 for every odd base."""
+    enc, library = encoding(), Tokenizer.from_file(JSON)
+    word = thue_morse(2048)
+    rows = [(1, word, "x"), (2, "filler words " * 1_000_000, "x"), (3, complement(word), "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    got = {r["doc_id"]: r for r in bpe_codec.decode(bpe_codec.encode(df, RANKS), RANKS).collect()}
+    for i, text, _ in rows:
+        assert np.frombuffer(got[i]["token_ids"], "<u4").tolist() == enc.encode_ordinary(text) and bytes(got[i]["decoded"]) == text.encode()
+    counts = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(df, JSON).collect()}
+    assert counts == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t, _ in rows}
+
+
+def test_token_files_of_words_that_collide(spark, tmp_path):
+    library = Tokenizer.from_file(JSON)
+    word = thue_morse(64)
+    rows = [(1, " ".join([word, complement(word)])), (2, complement(word)), (3, word * 40), (4, complement(word * 40))]
+    token_files.write(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), str(tmp_path / "t"), JSON)
+    got = {r["doc_id"]: bytes(r["token_ids"]) for r in token_files.read(spark, str(tmp_path / "t")).collect()}
+    assert got == {i: np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes() for i, t in rows}
+
+
+def test_memo_tells_words_of_one_hash_apart():
+    """With a table of zeros all hashes are equal."""
+    memo = bpe.Memo(bpe.memo_of(RANKS).encode)
+    memo.TABLE = np.zeros((64, 256), np.uint64)
+    enc = encoding()
+    for words in (["one", "two", "six"], ["six", "one", "ten", "a"], ["two"]):
+        begin, length = memo.find(pa.array([w.encode() for w in words], pa.binary()))
+        assert [memo.flat[b : b + n].tolist() for b, n in zip(begin, length, strict=True)] == [enc.encode_ordinary(w) for w in words]
+
+
+@pytest.mark.parametrize("piece", ["nd", "and", "a", "the"])
+def test_long_pre_tokens_take_time_in_proportion(piece):
+    text = piece * (1_000_000 // len(piece))
+    data, offsets = text_bytes(pa.array([text]))
+    start = time.process_time()
+    ids, _ = bpe.memo_of(RANKS).ids(data, offsets)
+    assert time.process_time() - start < 20 and ids.tolist() == encoding().encode_ordinary(text)
+
+
+def test_long_pre_tokens_of_any_vocabulary_equal_plain_merging():
+    rnd = random.Random(12)
+
+    def plain(ranks, raw):
+        parts = [bytes([b]) for b in raw]
+        while True:
+            found = min(((ranks.rank[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks.rank), default=None)
+            if found is None:
+                return [ranks.rank[x] for x in parts]
+            parts[found[1] : found[1] + 2] = [b"".join(parts[found[1] : found[1] + 2])]
+
+    for _ in range(150):
+        extra = list({bytes(rnd.choice(b"abc") for _ in range(rnd.randint(2, 5))) for _ in range(rnd.randint(1, 14))})
+        rnd.shuffle(extra)
+        ranks = bpe.Ranks([bytes([b]) for b in range(256)] + extra)
+        texts = [bytes(rnd.choice(b"abc") for _ in range(rnd.choice([3, 40, 150]))) for _ in range(4)]
+        ids, cut = bpe.merge_all(ranks, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+        assert [ids[a:b].tolist() for a, b in zip(cut, cut[1:], strict=False)] == [plain(ranks, t) for t in texts]
+
+
+def test_texts_of_megabytes(spark, tmp_path):
+    enc, library = encoding(), Tokenizer.from_file(JSON)
+    rows = [(1, "nd" * 2_000_000), (2, "<|endoftext|>" * 100_000), (3, "some words and numbers 123 " * 200_000), (4, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    want = {i: library.encode(t, add_special_tokens=False).ids for i, t in rows}
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(df, JSON).collect()} == {i: len(x) for i, x in want.items()}
+    for r in bpe_codec.encode(df, RANKS, verify=True).collect():
+        assert bytes(r["token_ids"]) == np.array(enc.encode_ordinary(r["text"]), "<u4").tobytes()
+    token_files.write(df, str(tmp_path / "t"), JSON)
+    assert {r["doc_id"]: bytes(r["token_ids"]) for r in token_files.read(spark, str(tmp_path / "t")).collect()} == {i: np.array([*x, 0], "<u4").tobytes() for i, x in want.items()}
+    assert shards.shard(df, bucket_bytes=1 << 20).agg(F.sum(F.length("text"))).first()[0] == sum(len(t) for _, t in rows)
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["_order", "row", "order", "slot", "_kept", "_t", "word", "n", "token_ids", "c0"]
+    df = spark.createDataFrame([(1, "a b", *names), (2, None, *names)], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    sharded = shards.shard(df)
+    assert sharded.columns == ["doc_id", "text", *(n for n in names if n != "slot"), "shard", "grown_shard", "bucket", "slot"] and sharded.filter("_order = '_order' and row = 'row' and c0 = 'c0'").count() == 2
+    counted = token_counts.count_tokens(df, JSON)
+    assert counted.columns == [*df.columns, "n_bytes", "n_tokens"] and {r["n"] for r in counted.collect()} == {"n"}
+    assert bpe_codec.encode(df, RANKS).columns == [c for c in df.columns if c != "token_ids"] + ["token_ids", "n_tokens"]
+
+
+def test_common_pre_tokens_or_none_give_the_same_counts(spark, docs):
+    every = [sorted((str(r["doc_id"]), r["n_tokens"]) for r in token_counts.count_tokens(docs, JSON, keep=["doc_id"], common=k).collect()) for k in (1, 8, 1 << 20)]
+    assert every[0] == every[1] == every[2]
+
+
 def test_empty_tables(spark, docs, tmp_path):
     none = docs.filter("false")
     assert bpe_codec.encode(none, RANKS).count() == 0 and token_counts.count_tokens(none, JSON).count() == 0
