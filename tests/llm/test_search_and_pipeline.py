@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import plain_versions as plain
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +38,40 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(df.filter("false")).count() == 0
 
 
+def test_scores_beyond_doubles_are_exact_or_refused(spark):
+    big = float((1 << 27) + 1) / 64
+    rows = [(0, [big, big, 1.0]), (1, [big, big, 2.0]), (2, [big, big, 3.0]), (3, [-big, big, 0.5])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    whole = [[math.floor(64 * x) for x in v] for _, v in rows]
+    want = sorted(((-sum(a * b for a, b in zip(whole[0], whole[i], strict=True)), i) for i in (1, 2, 3)))
+    assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(i, -s) for s, i in want]
+    assert max(-s for s, _ in want) > 1 << 53
+    for wrong in (1e30, 1e10):  # a component, a score beyond a long
+        with pytest.raises(Exception, match="beyond the range of long"):
+            topk.top_k(spark.createDataFrame([(0, [wrong]), (1, [wrong])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_long_vectors_and_many_blocks(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 3, (6, 16))
+    rows = [(i, [float(x) for x in centres[i % 6] + rng.normal(0, 0.05, 16)]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = topk.found(df, k=5).collect()
+    evaluated, every = (sum(r[c] or 0 for r in found) for c in ("evaluated", "pairs"))
+    assert evaluated < 0.5 * 150 * 3000 and every <= 150 * 3000  # bounds rule out what other clusters hold
+    x = np.array([[math.floor(64 * v) for v in e] for _, e in rows])
+    got = {}
+    for r in topk.top_k(df, k=5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in range(0, 3000, 20):
+        s = x @ x[q]
+        s[q] = -(1 << 62)
+        best = np.lexsort((np.arange(len(s)), -s))[:5]
+        assert sorted(got[q]) == [(k + 1, int(i), int(s[i])) for k, i in enumerate(best)]
+    long = spark.createDataFrame([(i, [float((i * j) % 7) for j in range(200_000)]) for i in range(0, 60, 10)], "vec_id long, embedding array<float>")
+    assert topk.top_k(long, k=2).count() == 6
+
+
 def test_windows_cover_texts():
     texts = ["", "a b c d e f g h i j", "  lead", "x" * 1300, " \n ", "one two\tthree"]
     data, offsets = text_bytes(__import__("pyarrow").array(texts))
@@ -145,6 +180,74 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() == len(seen["bpe"])
 
 
+def test_scores_equal_windows_compressed_one_by_one(spark):
+    docs, labels, _ = made_corpus(spark, 300)
+    model = toxicity.train(docs, labels)
+    more = spark.createDataFrame([(-1, "  leading\n\nblanks " + "vilegrunt " * 40), (-2, "x" * 1400), (-3, " \n"), (-4, "é ü " * 30), (None, "no id")], "doc_id long, text string")
+    for r in toxicity.score(docs.select("doc_id", "text").unionByName(more), model).collect():
+        assert r["score"] == pytest.approx(plain.toxicity_score(model, r["text"]), abs=1e-9)
+
+
+def test_scores_of_texts_of_megabytes(spark):
+    docs, labels, _ = made_corpus(spark, 300)
+    model = toxicity.train(docs, labels)
+    text = "ta re mi so la " * 300_000
+    got = toxicity.score(spark.createDataFrame([(1, text), (2, text + " vilegrunt foulsnark" * 100)], "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert [r["score"] for r in got] == [pytest.approx(plain.toxicity_score(model, r["text"]), abs=1e-9) for r in got]
+
+
+def test_held_out_of_rows_without_id(spark, tmp_path):
+    docs, labels, _ = made_corpus(spark, 60)
+    docs.unionByName(spark.createDataFrame([(None, "no id", "en", "s", 1)], docs.schema)).write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    rows = toxicity.query(spark, str(tmp_path)).collect()
+    assert [r["held_out"] for r in rows if r["doc_id"] is None] == [False] and all(r["held_out"] is not None for r in rows)
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    import base64
+
+    import public_tokenizers as P
+    import tiktoken
+
+    docs, labels, _ = made_corpus(spark, 260)
+    rnd = random.Random(31)
+    items = [" ".join(f"Bench{rnd.randint(0, 10**6)}" for _ in range(n)) for n in (14, 10, 4, 25)] + [None, "..."]
+    texts = [r["text"] for r in docs.orderBy("doc_id").collect()]
+    extra = []
+    for i in range(60):
+        words = texts[rnd.randrange(200)].split()
+        kind = i % 5
+        if kind == 0:  # a near copy
+            words[rnd.randrange(len(words))] = f"edit{i}"
+        elif kind == 1:
+            words[len(words) // 2 : len(words) // 2] = items[i % 4].upper().replace(" ", " -- ").split(" ")
+        text = " ".join(words)
+        if kind == 2:
+            text = f"A Shared Opening line {i % 3}\n{text}\n  a shared opening LINE {i % 3} \nshort\nown closing line {i}"
+        extra.append((1000 + i, text, "en", "s", len(text)))
+    extra += [(2000, "...", "en", "s", 3), (2001, items[1], "fr", "s", 1), (2002, "", "en", "s", 0)]
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    folder = str(tmp_path)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+    model = toxicity.train(docs, labels)
+    rows = [(r["doc_id"], r["text"]) for r in docs.orderBy("doc_id").collect()]
+    clean = [(d, t) for d, t in rows if plain.toxicity_score(model, t) < 0.7]
+    left = plain.drop_lines(clean)
+    single = plain.one_of_each(left)
+    cut = plain.cut_items(single, items)
+    assert len(rows) > len(clean) and left != clean and len(single) < len(left) and cut != single
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = sorted((d, enc.encode_ordinary(t or "")) for d, t in cut)
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert sorted((r["doc_id"], np.frombuffer(r["token_ids"], "<u4").tolist()) for r in got) == want
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     docs, labels, _ = made_corpus(spark, 3)
     docs.filter("false").write.parquet(str(tmp_path / "documents.parquet"))
