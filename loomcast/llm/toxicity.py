@@ -1,18 +1,20 @@
 """Operator 5: toxicity by compression distance.
 
-Two dictionaries are trained, on whole ordinary texts (by zstandard) and on whole toxic texts: the latter holds the
+Two dictionaries are trained apart, on whole ordinary texts (by zstandard) and on whole toxic texts: the latter holds the
 passages of toxic text, of any words, whose byte runs more toxic texts have than the ordinary ones let expect. Only
-copies of a whole text are left out. Texts are cut into windows of whole tokens. Each window is compressed twice, with the ordinary dictionary and with the toxic one, which has
-the ordinary one behind it, so that what both know costs alike; the bytes saved by the toxic one are the window's gain.
-A document's gains (the highest, the sums of the highest two and four, mean, shares above two thresholds, and the number
-of windows) go to a logistic calibration, which makes the score.
+copies of a whole text are left out. Texts are cut into windows of whole tokens, and each window is compressed twice: with the
+ordinary dictionary, and with the toxic one in front of the ordinary one. What both sides know costs alike that way; with the toxic
+dictionary by itself, most of the difference would be ordinary words that only one of two dictionaries happens to hold (figures in
+the README). The bytes saved are the window's gain. A document's gains (the highest, the sums of the highest two and four, mean,
+shares above two thresholds, and the number of windows) go to a logistic calibration, which makes the score.
 
 Training reads a bounded sample of labelled rows: at most ``sample`` rows of each class, those of smallest hash of
 doc_id, no text over ``longest`` bytes; of these, all windows. Scoring covers whole texts of all rows and is narrow: no shuffle.
 
 Defined cases: a null or empty text has no windows and gets the score of no gain. A document with several labels takes
 part once for each. If a class lacks rows to train on, every score is the share of toxic labels in the sample (0.0
-without any). Extra columns pass through; ``score`` and ``predicted`` are replaced.
+without any). A very long text is scored whole, a slice by itself; ties in gains don't matter. Repeated rows score alike. A
+null doc_id never trains and is not held out. Extra columns pass through; ``score`` and ``predicted`` are replaced.
 """
 
 from __future__ import annotations
@@ -232,4 +234,4 @@ def model_for(spark: SparkSession, sf_dir: str) -> Model:
 
 def query(spark, sf_dir: str) -> DataFrame:
     scored = score(documents(spark, sf_dir), model_for(spark, sf_dir), keep=["doc_id"])
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
