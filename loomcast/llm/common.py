@@ -9,8 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,9 +57,13 @@ def split_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def row_key(doc: str = "doc_id", text: str = "text") -> Column:
-    """Hash that tells apart rows sharing a doc_id; rows equal in both columns are one document to the operators."""
-    return F.xxhash64(F.col(doc), F.col(text))
+def parts_of(df: DataFrame, each: int = 64 << 20) -> int:
+    """Partitions for a shuffle of ``df``: as many as its files' bytes make parts of ``each``, and the session's number at least.
+
+    The planner's estimate costs no scan; where it has none (rows that are not in files), the session's number stays.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(split_count(df.sparkSession), min(size // each, 100_000) if size < 1 << 60 else 0)
 
 
 #: Bytes of text that a Python worker handles at a time, and so the bound of its scratch arrays. A longer text is a slice of its own.

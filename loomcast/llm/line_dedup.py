@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, split_count
+from .common import documents, parts_of
 from .decontaminate import ascii_lower
 
 SHORTEST, SALTS = 10, 64
@@ -42,7 +42,7 @@ def first_documents(lines: DataFrame, by: list[str], parts: int) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, shortest: int = SHORTEST, salts: int = SALTS, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(``_row``, ``_row2``, ``pos``) of each line to drop; the first two are a 128-bit key of doc_id and text."""
-    parts = split_count(docs.sparkSession)
+    parts = parts_of(docs)
     # Keys are made before lines are taken apart: beside the generator they would be made anew, of the whole text, for each line.
     whole = docs.select(
         F.xxhash64(doc, text).alias("_row"), F.xxhash64(F.lit(1), F.col(doc), F.col(text)).alias("_row2"),

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, order_within, ranges, slices, split_count, text_bytes
+from .common import documents, order_within, parts_of, ranges, slices, text_bytes
 
 DEPTH, GRAM = 100, 32
 #: Anchors that a map task compares among themselves before it sends them on, and windows that are sorted at a time.
@@ -119,7 +119,7 @@ def shared_positions(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> D
     schema = "h bigint, _row bigint, pos int"
     # What a task meets twice is shared for certain; each task sends a hash once to be compared with the other tasks'.
     known = texts.mapInArrow(run(True), schema).select("_row", "pos")
-    once = texts.mapInArrow(run(False), schema).repartition(split_count(docs.sparkSession), "h").sortWithinPartitions("h")
+    once = texts.mapInArrow(run(False), schema).repartition(parts_of(docs), "h").sortWithinPartitions("h")
 
     def met_again(batches):
         """Rows in order of h go by; the last one of a batch waits for the next unless it is settled."""
@@ -196,7 +196,7 @@ def _order(doc: str):
 
 def removed_ranges(docs: DataFrame, doc: str, depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
     """(_row, _doc, start, stop): byte ranges to remove; they may overlap. ``docs``: ``doc``, _row, _text."""
-    parts = split_count(docs.sparkSession)
+    parts = parts_of(docs)
     copies = later_copies(docs, doc, depth).withColumn("_copy", F.lit(True))
     at = shared_positions(docs, depth, gram).groupBy("_row").agg(F.collect_set("pos").alias("_at")).join(copies, "_row", "left")
     at = at.select("_row", F.when(F.col("_copy"), F.array().cast("array<int>")).otherwise(F.col("_at")).alias("_at"), F.coalesce("_copy", F.lit(False)).alias("_copy"))
