@@ -19,11 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, parts_of
+from .common import documents, parts_of, stored
 from .decontaminate import ascii_lower
 
 SHORTEST, SALTS = 10, 64
 ONES = (1 << 32) - 1
+BROADCAST_BYTES = 64 << 20
 
 
 def lines_of(text: Column) -> Column:
@@ -86,9 +87,14 @@ def kept_text(text: Column, keep: Column) -> Column:
 
 
 def with_bitmaps(docs: DataFrame, doc: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with ``keep`` (null: all lines stay) and ``n_dropped``; columns of these names are replaced, all others pass through."""
+    """``docs`` with ``keep`` (null: all lines stay) and ``n_dropped``; columns of these names are replaced, all others pass through.
+
+    The bitmaps are stored. If their bytes allow it they go to the texts by broadcast; else both meet in a shuffle.
+    """
     others = [c for c in docs.columns if c not in ("keep", "n_dropped")]
-    marks = keep_bitmaps(docs, doc=doc, text=text, **options)
+    marks = stored(keep_bitmaps(docs, doc=doc, text=text, **options), "bitmaps")
+    if (marks.agg(F.sum(64 + 24 * F.size("keep"))).first()[0] or 0) <= BROADCAST_BYTES:
+        marks = F.broadcast(marks)
     keyed = docs.select(F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(others))).alias("_kept"), F.xxhash64(doc, text).alias("_row"), F.xxhash64(F.lit(1), F.col(doc), F.col(text)).alias("_row2"))
     joined = keyed.join(marks, ["_row", "_row2"], "left")
     return joined.select(*(F.col(f"_kept.c{i}").alias(c) for i, c in enumerate(others)), "keep", F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"))
