@@ -25,7 +25,7 @@ SHORT_TO_LONG = {
 SHORT_LAG = 26
 CATEGORICAL = frozenset([*ITEM_CODES.values(), GROUP_CODE])
 #: Codes from which a categorical feature is taken as a number: each costs a bin in every split.
-MOST_CODES = 1024
+MOST_CODES = 256
 
 
 def impute_short_horizon(df: DataFrame, s: FeatureSpec = FeatureSpec()) -> DataFrame:
