@@ -17,7 +17,7 @@ TABLES = "region nation customer supplier part orders lineitem".split()
 CHECKED = [
     "weekly_panel", "week_minus_years", "calendar_features", "lags", "trend_yoy", "pair_expanding", "agency_expanding", "agency_means", "clean_sales", "panel_union", "encode_articles",
     "label_encoder_map", "billing_joined", "gold_test", "expectation_report", "expect_drop", "baseline_wape", "wape_by_slice", "confusion_matrix", "threshold_sweep", "impute_short_horizon",
-    "final_predictions", "profile_target", "pareto_articles", "coverage_antijoin", "lag_correlation",
+    "final_predictions", "val_predictions", "profile_brand", "gold_train", "article_expanding", "profile_target", "pareto_articles", "coverage_antijoin", "lag_correlation",
 ]
 
 
@@ -59,6 +59,13 @@ def test_entry_imports_without_the_training_data_operators(tmp_path):
     assert said.returncode == 0, said.stderr
 
 
+def test_a_missing_library_of_the_training_data_operators_leaves_the_rest():
+    root = Path(__file__).resolve().parent.parent
+    code = "import sys; sys.modules['zstandard'] = sys.modules['regex'] = None; import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert 'gold_features' in q and 'pipeline' not in q and not any(n.startswith('op') for n in [*q, *s])"
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr
+
+
 def test_the_model_query_trains_on_all_features_with_the_default_budget(spark, monkeypatch):
     from loomcast import queries
     from loomcast.config import all_features

@@ -51,6 +51,20 @@ def test_group_windows_dont_see_their_own_week_or_row_order(spark, seed):
     assert {r["week_id"]: r["m"] for r in means} == {202400 + int(k[5:]): v for k, v in want.items()}
 
 
+def test_group_history_from_counts_equals_plain_means_and_medians(spark):
+    import random
+
+    rnd = random.Random(4)
+    rows = [(f"2024-{w:02d}", g, a, rnd.choice([None, 0, 0, 1, 2, 3, 7])) for w in range(1, 9) for g in (1, 2) for a in (1, 2, 3) if rnd.random() < 0.8]
+    got = features.with_group_history(panel(spark, rows), {"code_agence": "agence", "code_article": "article"}).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for column, prefix, at in (("code_agence", "agence", 1), ("code_article", "article", 2)):
+            past = sorted(float(x[3]) for x in rows if x[at] == r[column] and x[0] < r["semaine"] and x[3] is not None)
+            mean, median = (sum(past) / len(past), past[(len(past) + 1) // 2 - 1]) if past else (None, None)
+            assert r[f"{prefix}_mean"] == (None if mean is None else pytest.approx(mean)) and r[f"{prefix}_median"] == median
+
+
 def test_row_frames_see_earlier_pairs_of_the_same_week(spark):
     rows = [("2024-01", 1, 1, 10), ("2024-01", 1, 2, 20)]
     df = panel(spark, rows).withColumns(features.expanding_columns("code_agence", "agence", FeatureSpec(group_frame="rows")))
