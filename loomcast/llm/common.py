@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -66,6 +67,15 @@ def parts_of(df: DataFrame, each: int = 64 << 20) -> int:
     return max(split_count(df.sparkSession), min(size // each, 100_000) if size < 1 << 60 else 0)
 
 
+def give_back() -> None:
+    """Returns to the system what Arrow and the allocator hold free. Spark reuses Python workers: what one task has freed would add up with the next one's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another allocator
+
+
 #: Bytes of text that a Python worker handles at a time, and so the bound of its scratch arrays. A longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
 
@@ -150,5 +160,7 @@ def map_text(df: DataFrame, function, added: dict[str, str], text: str = "text",
             for first, end, data, offsets in slices(column, most):
                 made = function(data, offsets)
                 yield pa.RecordBatch.from_arrays([*(c.slice(first, end - first) for c in kept), *made], names=names)
+                del made
+        give_back()
 
     return df.select(*wanted).mapInArrow(run, schema)

@@ -38,11 +38,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import shingles as sh
-from .common import delete, discard, documents, scratch, slices, split_count, stored
+from .common import delete, discard, documents, give_back, scratch, slices, split_count, stored
 
 SIMILARITY, BANDS, ROWS = 0.8, 16, 4
 #: Bytes of text of a chunk, of those whose shingles are added up in one task's group, and of a stored part of all chunks.
-CHUNK_BYTES, RANGE_BYTES, PART_BYTES = 4 << 20, 16 << 20, 64 << 20
+CHUNK_BYTES, RANGE_BYTES, PART_BYTES = 2 << 20, 16 << 20, 64 << 20
 FEW = 3
 #: Nodes that a task remembers to send each text and each count once.
 HELD = 100_000
@@ -98,6 +98,7 @@ def collapsed(docs: DataFrame) -> DataFrame:
                 if len(held) > HELD:
                     yield from more()
         yield from more()
+        give_back()
 
     return docs.select("_doc", "_row", "_text").mapInArrow(run, "node binary, copies bigint, _doc bigint, _row bigint, _text string")
 
@@ -174,6 +175,7 @@ def frequencies(chunks: Chunks, size: int) -> DataFrame:
     edges = np.array([(k << 64) // n for k in range(1, n)], np.uint64)
 
     def ask(table: pa.Table) -> pa.Table:
+        give_back()
         _, x, _, times = distinct_of(table, size)
         cut = np.concatenate([[0], np.searchsorted(x, edges), [len(x)]])
         some = np.flatnonzero(np.diff(cut))
@@ -182,6 +184,7 @@ def frequencies(chunks: Chunks, size: int) -> DataFrame:
         return pa.table([pa.array([table.column("chunk")[0].as_py()] * len(rows), pa.int64()), pa.array(which, pa.int32()), pa.array(numbers, pa.binary()), pa.array(counts, pa.binary())], names=["chunk", "range", "xs", "times"])
 
     def answer(table: pa.Table) -> pa.Table:
+        give_back()
         asked = [_numbers(x.as_py()) for x in table.column("xs")]
         each = np.array([len(x) for x in asked])
         x, times = np.concatenate(asked), np.concatenate([_counts(t.as_py()) for t in table.column("times")])
@@ -203,6 +206,7 @@ def signatures(chunks: Chunks, total: int, bands: int, rows: int, size: int) ->
     """(chunk, node, copies, bands, dfs): the samples of each node; document frequencies of its distinct shingles, ascending by hash."""
 
     def sign(table: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         found, _, place, _ = distinct_of(table, size)
         order = np.argsort(answers.column("range").to_numpy())
         df = np.concatenate([_counts(answers.column("dfs")[int(i)].as_py()) for i in order])
