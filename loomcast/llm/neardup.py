@@ -2,7 +2,7 @@
 
 1. Nodes. Documents of one sequence of words (by two independent 64-bit hashes) become one node, whatever their number; each
    task sends a node's text once. Nodes are dealt into chunks of about ``CHUNK_BYTES`` and stored by chunk.
-2. Document frequencies are exact, for all shingles. A chunk asks for its distinct shingles' frequencies, in one row for each
+2. Document frequencies are exact, for all shingles; weights tell them apart from ``shingles.FLOOR`` of all documents up. A chunk asks for its distinct shingles' frequencies, in one row for each
    range of hashes (sorted, as differences); a range adds up all chunks' counts and answers each in the same order. So a
    shingle comes once from a chunk, however many documents have it, and neither text nor keys travel with frequencies.
 3. Samples. Each node gets ``bands`` hashes of ``rows`` weighted samples each.

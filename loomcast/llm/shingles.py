@@ -11,6 +11,9 @@ import numpy as np
 from .common import order_within, ranges
 
 SIZE = 5
+#: Shingles in fewer than this share of the texts all weigh the same. An edited word's shingles are in one text; without a
+#: bound they outweigh those of a group of near copies more and more as the corpus grows, though all shares stay alike.
+FLOOR = 1e-3
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -97,8 +100,8 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SIZE) -> tuple[n
 
 
 def weights(total: int, counts: np.ndarray, frequencies: np.ndarray) -> np.ndarray:
-    """Term frequency times 1 + ln(documents / document frequency)."""
-    return (1 + np.log(max(total, 1) / np.clip(frequencies, 1, max(total, 1)))) * counts
+    """Term frequency times 1 + ln(documents / document frequency), the frequency at least ``FLOOR`` of all documents."""
+    return (1 + np.log(max(total, 1) / np.clip(frequencies, max(1, FLOOR * total), max(total, 1)))) * counts
 
 
 def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
