@@ -26,6 +26,8 @@ SHORT_LAG = 26
 CATEGORICAL = frozenset([*ITEM_CODES.values(), GROUP_CODE])
 #: Codes from which a categorical feature is taken as a number: each costs a bin in every split.
 MOST_CODES = 256
+#: Bytes of rows (as the planner estimates them) of a task of training.
+TASK_BYTES = 32 << 20
 
 
 def impute_short_horizon(df: DataFrame, s: FeatureSpec = FeatureSpec()) -> DataFrame:
@@ -106,6 +108,15 @@ def design(df: DataFrame, names: list[str], codes: dict[str, int] | None = None)
     return made.select(*df.columns, "features")
 
 
+def few_tasks(df: DataFrame, each: int = TASK_BYTES) -> DataFrame:
+    """``df`` in as many partitions as its bytes ask for, one for each core at least, and never more than it has.
+
+    Boosting runs two jobs for each level of a tree, of one task a partition and stage, and the driver keeps a record of every task.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, min(size // each, 1 << 30)))
+
+
 class HurdleModel:
     def __init__(self, zero, quantity, names: list[str], codes: dict[str, int] | None = None):
         self.zero, self.quantity, self.names, self.codes = zero, quantity, names, codes or {}
@@ -151,7 +162,7 @@ def train_hurdle(train: DataFrame, validation: DataFrame, names: list[str] | Non
     codes = categories(train, names, MOST_CODES)
     both = train.withColumn("_val", F.lit(False)).unionByName(validation.withColumn("_val", F.lit(True)))
     target = F.col(y).cast("double")
-    x = design(both, names, codes).select("features", "_val", target.alias("_y"), (target == 0).cast("double").alias("_zero"), F.when(target == 0, s.zero_weight).otherwise(1.0).alias("_w"))
+    x = design(few_tasks(both), names, codes).select("features", "_val", target.alias("_y"), (target == 0).cast("double").alias("_zero"), F.when(target == 0, s.zero_weight).otherwise(1.0).alias("_w"))
     common = {"featuresCol": "features", "validationIndicatorCol": "_val", "maxDepth": s.depth, "subsamplingRate": s.row_share, "featureSubsetStrategy": s.feature_share, "seed": SEED, "maxBins": max([s.bins, *(n + 1 for n in codes.values())])}
     zero = GBTClassifier(labelCol="_zero", weightCol="_w", maxIter=s.zero_rounds, stepSize=s.zero_step, **common)
     quantity = GBTRegressor(labelCol="_y", lossType="absolute", maxIter=s.quantity_rounds, stepSize=s.quantity_step, **common)

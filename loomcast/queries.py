@@ -14,7 +14,7 @@ from .operators import baselines, billing, cleaning, encoding, features, hurdle,
 from .plans.forecast import forecast_graph
 from .plans.quality import drop_failed, report, rules_for
 from .sources import driver_tables as D
-from .sources.tables import VALIDATION_SCHEMA
+from .sources.tables import VALIDATION_SCHEMA, stored
 
 KEYS = ["semaine", "code_agence", "code_article"]
 THRESHOLD = 0.5
@@ -137,8 +137,8 @@ def final_predictions(spark: SparkSession, d: str) -> DataFrame:
 
 def hurdle_gbt(spark: SparkSession, d: str, spec: hurdle.HurdleSpec = hurdle.HurdleSpec()) -> DataFrame:
     """Both stages trained on all features of the feature table, the threshold tuned on validation, weeks to predict scored."""
-    # Boosting reads its rows many times over; the feature table is computed once.
-    rows = graph(d).plan(spark, "gold_feature_table").persist()
+    # Boosting runs thousands of tasks; the feature table is computed once, and nothing of its plan stays in the driver meanwhile.
+    rows = stored(graph(d).plan(spark, "gold_feature_table"), "features")
     known = rows.filter("quantite is not null")
     train, val = splits.train_rows(known, D.SPLITS), splits.validation_rows(known, D.SPLITS)
     model = hurdle.train_hurdle(train, val, all_features(), spec)

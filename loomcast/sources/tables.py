@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import base64
 import html
+import re
+import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +32,23 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below ``spark.checkpoint.dir`` and read back: its plan, cached blocks and broadcast tables weigh on nothing that follows.
+
+    Where no such folder is set, local masters use a temporary one of this machine; any other master raises.
+    """
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loomcast-"))
+        base = spark.sparkContext.getCheckpointDir()
+    path = f"{base.rstrip('/')}/loomcast/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def save_table(df: DataFrame, name: str, properties: dict[str, str] | None = None) -> None:
     """Managed table, replaced with its schema; ``properties`` become table properties."""
     df.write.mode("overwrite").option("overwriteSchema", "true").format("parquet").saveAsTable(name)

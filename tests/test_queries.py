@@ -80,3 +80,29 @@ def test_the_model_query_trains_on_all_features_with_the_default_budget(spark, m
     with pytest.raises(Seen) as found:
         QUERIES["hurdle_gbt"](spark, FOLDER)
     assert found.value.args == (all_features(), queries.hurdle.HurdleSpec(), set())
+
+
+def test_the_model_query_trains_on_stored_rows(spark, monkeypatch):
+    """Neither the feature table's plan nor cached blocks of it are in the driver while the trees grow."""
+    from loomcast import queries
+
+    class Seen(Exception):
+        pass
+
+    def seen(train, validation, names, spec):
+        raise Seen(*(x._jdf.queryExecution().optimizedPlan().toString() for x in (train, validation)))
+
+    monkeypatch.setattr(queries.hurdle, "train_hurdle", seen)
+    with pytest.raises(Seen) as found:
+        QUERIES["hurdle_gbt"](spark, FOLDER)
+    assert all("parquet" in plan and "InMemoryRelation" not in plan and "Window" not in plan for plan in found.value.args)
+
+
+def test_training_runs_few_tasks_over_small_rows(spark):
+    from loomcast.operators import hurdle
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 1000, 1, 100)
+    assert hurdle.few_tasks(rows).rdd.getNumPartitions() == cores
+    assert hurdle.few_tasks(rows, each=800).rdd.getNumPartitions() == 10 and hurdle.few_tasks(rows, each=8).rdd.getNumPartitions() == 100
+    assert hurdle.few_tasks(rows).count() == 1000
