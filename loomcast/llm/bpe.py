@@ -20,11 +20,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from .common import ranges, text_bytes
+from .common import ranges, runs_of, text_bytes
 from .pretokens import pieces
 
 #: Bytes of a pre-token from which it is merged by itself once a merge has made a pair of lower rank.
 LONG = 64
+#: Bytes of text taken apart at a time, and tokens looked up at a time: both take tens of bytes of scratch for each.
+PART_BYTES, PART_TOKENS = 1 << 20, 1 << 18
 
 
 class Vocabulary:
@@ -369,16 +371,36 @@ class Memo:
         return array if n <= len(array) else np.concatenate([array, np.zeros(max(len(array) // 2, n - len(array)), array.dtype)])
 
     def ids(self, data: np.ndarray, offsets: np.ndarray, split=pieces) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of whole texts, concatenated, and their n + 1 offsets."""
-        words, bounds = split(data, offsets)
-        if not len(words):
-            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
-        coded = words.dictionary_encode()
+        """Ids of whole texts, concatenated, and their n + 1 offsets.
+
+        Texts are taken apart some at a time, so that scratch arrays don't grow with all of them; the words that they
+        have between them are found, and those not yet known encoded, at once.
+        """
+        total, parts = np.zeros(len(offsets), np.int64), []
+        for first, end in runs_of(offsets, PART_BYTES):
+            words, bounds = split(data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first])
+            if len(words):
+                coded = words.dictionary_encode()
+                parts.append((first, end, bounds, coded.indices.to_numpy(), coded.dictionary))
+        if not parts:
+            return np.zeros(0, np.int32), total
+        sizes = [len(p[-1]) for p in parts]
+        coded = pa.concat_arrays([p[-1] for p in parts]).dictionary_encode()
+        parts = [p[:-1] for p in parts]
         begin, length = self.find(coded.dictionary)
-        which = coded.indices.to_numpy()
-        each = length[which]
-        total = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
-        return self.flat[ranges(begin[which], each)], total[bounds]
+        own = np.split(coded.indices.to_numpy(), np.cumsum(sizes)[:-1])
+        for (first, end, bounds, which), row in zip(parts, own, strict=True):
+            cut = np.concatenate([[0], np.cumsum(length[row][which])])
+            total[first + 1 : end + 1] = np.diff(cut[bounds])
+        np.cumsum(total, out=total)
+        out, used = np.empty(total[-1], np.int32), 0
+        for (_, _, _, which), row in zip(parts, own, strict=True):
+            for at in range(0, len(which), PART_TOKENS):
+                some = row[which[at : at + PART_TOKENS]]
+                made = self.flat[ranges(begin[some], length[some])]
+                out[used : used + len(made)] = made
+                used += len(made)
+        return out, total
 
 
 @lru_cache(maxsize=4)
@@ -405,6 +427,9 @@ def memo_of(path: str) -> Memo:
 
 def decode(ranks: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the token sequences cut at ``offsets``, and their own n + 1 offsets."""
-    size = ranks.lengths[ids]
-    total = np.concatenate([[0], np.cumsum(size)])
-    return ranks.flat[ranges(ranks.starts[ids], size)], total[offsets]
+    total = np.concatenate([[0], np.cumsum(ranks.lengths[ids])])
+    out = np.empty(total[-1], np.uint8)
+    for at in range(0, len(ids), PART_TOKENS):
+        some = ids[at : at + PART_TOKENS]
+        out[total[at] : total[at + len(some)]] = ranks.flat[ranges(ranks.starts[some], ranks.lengths[some])]
+    return out, total[offsets]

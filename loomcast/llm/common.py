@@ -96,23 +96,30 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of rows that hold about ``most`` bytes together."""
-    data, offsets = text_bytes(column)
+def runs_of(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(first row, end row) of runs of rows cut at ``offsets`` that hold about ``most`` bytes together."""
     n, row = len(offsets) - 1, 0
     while row < n:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1)
         end = min(end, n)
-        yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
+        yield row, end
         row = end
 
 
+def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of runs of rows that hold about ``most`` bytes together."""
+    data, offsets = text_bytes(column)
+    for row, end in runs_of(offsets, most):
+        yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenation of arange(start, start + length)."""
     lengths = lengths.astype(np.int64)
     ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total, dtype=np.int64) + np.repeat(starts.astype(np.int64) - (ends - lengths), lengths)
+    out = np.repeat(starts.astype(np.int64) - (ends - lengths), lengths)
+    out += np.arange(len(out), dtype=np.int64)
+    return out
 
 
 def order_within(group: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -161,6 +168,6 @@ def map_text(df: DataFrame, function, added: dict[str, str], text: str = "text",
                 made = function(data, offsets)
                 yield pa.RecordBatch.from_arrays([*(c.slice(first, end - first) for c in kept), *made], names=names)
                 del made
-        give_back()
+                give_back()
 
     return df.select(*wanted).mapInArrow(run, schema)

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -164,6 +165,32 @@ def test_memo_tells_words_of_one_hash_apart():
         assert [memo.flat[b : b + n].tolist() for b, n in zip(begin, length, strict=True)] == [enc.encode_ordinary(w) for w in words]
 
 
+@pytest.mark.parametrize("name", ["encode", "decode", "decode one text"])
+def test_scratch_does_not_grow_with_all_texts(name):
+    """What arrays take beside the input is a few bytes for each byte of a slice, not tens."""
+    text = "Some words, and numbers: 123 or 4567. "
+    texts = [text * 60] * 7000 if name != "decode one text" else [text * 60 * 7000]
+    data, offsets = text_bytes(pa.array(texts, pa.string()))
+    memo, ranks = bpe.memo_of(RANKS), bpe.ranks_of(RANKS)
+    if name == "encode":
+        call = lambda: memo.ids(data, offsets)
+    else:
+        one, _ = memo.ids(*text_bytes(pa.array([text * 60], pa.string())))
+        ids, cut = np.tile(one, 7000), np.arange(len(texts) + 1) * (len(one) * 7000 // len(texts))
+        call = lambda: bpe.decode(ranks, ids, cut)
+    tracemalloc.start()
+    try:
+        found, at = call()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 * len(data)
+    if name != "encode":
+        assert np.array_equal(found, data) and np.array_equal(at, offsets)
+    else:
+        assert len(found) == at[-1] and np.array_equal(found, np.tile(found[: at[1]], len(texts))) and found[: at[1]].tolist() == encoding().encode_ordinary(texts[0])
+
+
 @pytest.mark.parametrize("piece", ["nd", "and", "a", "the"])
 def test_long_pre_tokens_take_time_in_proportion(piece):
     text = piece * (1_000_000 // len(piece))
