@@ -210,13 +210,13 @@ def signatures(chunks: Chunks, total: int, bands: int, rows: int, size: int) ->
         found, _, place, _ = distinct_of(table, size)
         order = np.argsort(answers.column("range").to_numpy())
         df = np.concatenate([_counts(answers.column("dfs")[int(i)].as_py()) for i in order])
-        made, at = [], 0
+        made, at, usual = [], 0, float(sh.weights(total, np.ones(1), np.ones(1))[0])
         for first, h, n, cut in found:
             own = df[place[at : at + len(h)]]
             at += len(h)
             made.append(pa.table([
                 *(table.column(c).combine_chunks().slice(first, len(cut) - 1) for c in ("chunk", "node", "copies")),
-                pa.ListArray.from_arrays(pa.array(np.arange(len(cut)) * bands, pa.int32()), pa.array(sh.weighted_samples(h, sh.weights(total, n, own), cut, bands, rows).ravel().view(np.int64))),
+                pa.ListArray.from_arrays(pa.array(np.arange(len(cut)) * bands, pa.int32()), pa.array(sh.weighted_samples(h, sh.weights(total, n, own), cut, bands, rows, usual).ravel().view(np.int64))),
                 pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(own)),
             ], names=["chunk", "node", "copies", "bands", "dfs"]))
         return pa.concat_tables(made)

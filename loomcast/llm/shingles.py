@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .common import order_within, ranges
+from .common import order_within, ranges, runs_of
 
 SIZE = 5
 #: Shingles in fewer than this share of the texts all weigh the same. An edited word's shingles are in one text; without a
@@ -17,10 +17,15 @@ FLOOR = 1e-3
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-#: A random number for each byte at each of 64 places, twice: sums of these tell words apart but for chance, whatever the words are.
-_PLACES = 64
-_TABLES = np.random.default_rng(23).integers(0, 1 << 64, (2, _PLACES, 256), np.uint64)
-_TABLES[:, :, 65:91] = _TABLES[:, :, 97:123]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Keeps the first 0 to 8 bytes of eight, by their number.
+_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+#: One for each independent hash of a word. Eight bytes at a time are mixed with their place, so that no words collide by design.
+_SEEDS = np.random.default_rng(23).integers(0, 1 << 64, 2, np.uint64)
+#: Shingles of the texts that are sampled together and of a step of these; see :func:`weighted_samples`.
+_RUN, _BLOCK, _ENOUGH = 1 << 15, 1024, 6.0
+_STIR = [(np.uint32(factor), np.uint32(shift)) for factor, shift in ((0x85EBCA6B, 16), (0xC2B2AE35, 15), (0x9E3779B1, 16))]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -33,29 +38,33 @@ def mix(h: np.ndarray) -> np.ndarray:
 def word_hashes(data: np.ndarray, offsets: np.ndarray, independent: int = 1) -> tuple[list[np.ndarray], np.ndarray]:
     """``independent`` (1 or 2) 64-bit hashes of each word, and how many words precede each text (n + 1 counts)."""
     n = len(data)
-    if not n:
-        return [np.zeros(0, np.uint64)] * independent, np.zeros(len(offsets), np.int64)
     word = _WORD[data]
-    edge = np.zeros(n + 1, bool)
-    edge[offsets] = True
-    begin, stop = word.copy(), np.empty(n, bool)
-    begin[1:] &= ~word[:-1] | edge[1:n]
-    stop[-1] = word[-1]
-    stop[:-1] = word[:-1] & (~word[1:] | edge[1:n])
-    start, end = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-    size = end - start
+    begin, stop = word.copy(), word.copy()
+    begin[1:] &= ~word[:-1]
+    stop[:-1] &= ~word[1:]
+    inner = offsets[(offsets > 0) & (offsets < n)]
+    begin[inner], stop[inner - 1] = word[inner], word[inner - 1]
+    start = np.flatnonzero(begin)
     if not len(start):
         return [np.zeros(0, np.uint64)] * independent, np.zeros(len(offsets), np.int64)
-    place = ranges(np.zeros(len(size), np.int64), size)
-    at = (place % _PLACES) * 256 + data[word]
-    first, out = np.cumsum(size) - size, []
-    far = np.flatnonzero(place >= _PLACES)  # the tables serve again for each 64 bytes, mixed with how many there were
+    size = np.flatnonzero(stop) + 1 - start
+    padded = np.zeros(n + 8, np.uint8)
+    np.take(_LOWER, data, out=padded[:n])
+    eight = np.ndarray(n + 1, "<u8", padded, 0, (1,))  # the 8 bytes from each place on
+    far = np.flatnonzero(size > 8)
+    pieces = (size[far] + 7) // 8 - 1
+    first = np.cumsum(pieces) - pieces
+    place = ranges(np.ones(len(far), np.int64), pieces)
+    at = np.repeat(start[far], pieces) + 8 * place
+    rest = eight[at] & _BYTES[np.minimum(np.repeat((start + size)[far], pieces) - at, 8)]
+    head = eight[start] & _BYTES[np.minimum(size, 8)]
+    out = []
     with np.errstate(over="ignore"):
-        for k in range(independent):
-            value = _TABLES[k].ravel()[at]
+        for seed in _SEEDS[:independent]:
+            h = mix(head ^ mix(size.astype(np.uint64) * _BASE + seed))
             if len(far):
-                value[far] = mix(value[far] + (place[far] // _PLACES).astype(np.uint64) * _BASE)
-            out.append(mix(np.add.reduceat(value, first) + size.astype(np.uint64)))
+                h[far] = mix(h[far] + np.add.reduceat(mix(rest ^ mix(place.astype(np.uint64) * _BASE ^ seed)), first))
+            out.append(h)
     return out, np.searchsorted(start, offsets)
 
 
@@ -111,63 +120,85 @@ def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return float(both / (a[1].sum() + b[1].sum() - both)) if len(a[0]) or len(b[0]) else 0.0
 
 
-def weighted_samples(hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarray, bands: int, rows: int) -> np.ndarray:
+def weighted_samples(hashes: np.ndarray, weights: np.ndarray, offsets: np.ndarray, bands: int, rows: int, usual: float = 1.0) -> np.ndarray:
     """Improved consistent weighted sampling: a hash for each text and band, of ``rows`` samples each.
 
-    A sample is the shingle of smallest ln c - r (t - b) - r and its t, where t = floor(ln w / r + b); r and c are
-    Gamma(2, 1), b uniform, all drawn by hashing shingle and sample. Texts take the same sample with a probability
-    that is their weighted Jaccard similarity.
+    A shingle has a grid of ln z, r ~ Gamma(2, 1) apart, at a uniform offset, and c ~ Gamma(2, 1), all drawn by hashing
+    shingle and sample. z is the grid's first point above ln w, and t its number. A sample is the shingle of smallest
+    ln c - ln z and its t. Texts take the same sample with a probability that is their weighted Jaccard similarity.
+
+    The draws are arranged so that few shingles need them all. From ln ``usual`` it is g to the grid's next point (number 0),
+    and g and r - g are Exp(1) each; c splits in the same way into a = c exp(-g) and c - a. So c / z is a / usual
+    for a weight of ``usual``, no less for smaller ones, and at least a exp(g - r) / w for all. In a text of weight W
+    the smallest c / z is hardly ever above ``_ENOUGH`` / W: what cannot be below by its first 32 bits (a's and
+    r - g's first 16) is left out, and where nothing is below, all of the text's shingles are looked at. The choice of
+    ``usual`` changes the draws, not their law: it must be one for all texts that are compared.
     """
     k = bands * rows
     seeds = mix(np.arange(1, k + 1, dtype=np.uint64) * _BASE)
-    n = len(offsets) - 1
-    out = np.zeros((n, bands), np.uint64)
-    log_w = np.log(weights).astype(np.float32)[:, None]
-    unit, half = np.float32(2.0**-16), np.float32(2.0**-17)  # uniforms of 16 bits, five to a hash
-
-    def block(a, b):
-        """Of shingles a to b: what is to be minimal, and t."""
-        z = hashes[a:b, None] ^ seeds[None, :]
-        z = (z ^ (z >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        z = (z ^ (z >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        beta = (z * _BASE >> np.uint64(48)).astype(np.float32) * unit
-        z ^= z >> np.uint64(32)
-        u = z.view(np.uint16).reshape(b - a, k, 4).transpose(2, 0, 1).astype(np.float32) * unit + half
-        r = -np.log(u[0] * u[1])
-        c = np.log(-np.log(u[2] * u[3]))
-        t = np.floor(log_w[a:b] / r + beta)
-        return c - r * (t - beta) - r, t
-
-    most = 1024
-    at = 0
-    columns = np.arange(k)
-    with np.errstate(over="ignore"):
-        while at < n:
-            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
-            a, b = int(offsets[at]), int(offsets[end])
-            if b - a <= most:
-                value, t = block(a, b) if b > a else (None, None)
-                for i in range(at, end):
-                    s, e = int(offsets[i]) - a, int(offsets[i + 1]) - a
-                    if e > s:
-                        pick = value[s:e].argmin(0) + s
-                        out[i] = _bands(hashes[a + pick], t[pick, columns], bands, rows)
-            else:  # one long text, in parts
-                best, which, ts = np.full(k, np.inf, np.float32), np.zeros(k, np.int64), np.zeros(k, np.float32)
-                for s in range(a, b, most):
-                    value, t = block(s, min(s + most, b))
-                    pick = value.argmin(0)
-                    low = value[pick, columns]
-                    better = low < best
-                    best[better], which[better], ts[better] = low[better], s + pick[better], t[pick, columns][better]
-                out[at] = _bands(hashes[which], ts, bands, rows)
-            at = end
+    out = np.zeros((len(offsets) - 1, bands), np.uint64)
+    low, sixteen, unit = np.uint32(0xFFFF), np.uint32(16), 2.0**-16
+    space = np.empty((2, k * _BLOCK), np.uint32)
+
+    def bits(seeds, high, low, space):
+        """32 bits of each shingle (the halves of its hash) and sample."""
+        z, more = space
+        np.bitwise_xor(high, seeds, out=z)
+        for i, (factor, shift) in enumerate(_STIR):
+            if i == 1:
+                z ^= low
+            z *= factor
+            np.right_shift(z, shift, out=more)
+            z ^= more
+        return z
+
+    for first, end in runs_of(offsets, _RUN):
+        cut, n = offsets[first : end + 1] - offsets[first], end - first
+        h, w = hashes[offsets[first] : offsets[end]], weights[offsets[first] : offsets[end]]
+        if not len(h):
+            continue
+        size = np.diff(cut)
+        own = np.repeat(np.arange(n), size)
+        whole = np.bincount(own, w, n)
+        halves = (h >> np.uint64(32)).astype(np.uint32), h.astype(np.uint32)
+        most = _ENOUGH / whole[own]
+        best, which, ts = np.full(n * k, np.inf), np.zeros(n * k, np.int64), np.zeros(n * k, np.int64)
+
+        def settle(j, x):
+            """Samples j of shingles x, as they are in full."""
+            z = bits(seeds[j].astype(np.uint32), halves[0][x], halves[1][x], np.empty((2, len(x)), np.uint32))
+            more = mix(h[x] ^ seeds[j])
+            fine = (more & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            a = -np.log1p(-((z >> sixteen) + ((fine >> sixteen) + 0.5) * unit) * unit)
+            rest = -np.log(((z & low) + ((fine & low) + 0.5) * unit) * unit)
+            g = np.log1p(-np.log(((more >> np.uint64(32)) + 0.5) * 2.0**-32) / a)
+            t = np.floor((np.log(w[x] / usual) - g) / (g + rest)) + 1
+            value = np.log(a / usual) - (g + rest) * t
+            at = own[x] * k + j
+            np.minimum.at(best, at, value)
+            hit = np.flatnonzero(value == best[at])[::-1]
+            which[at[hit]], ts[at[hit]] = x[hit], t[hit]
+
+        with np.errstate(over="ignore"):
+            found = []
+            for heavy in (False, True):
+                columns = np.flatnonzero((w > usual) == heavy)
+                limit = (most * w * 2.0**32).astype(np.float32) if heavy else (np.minimum(-np.expm1(-most * usual) * 2.0**16, 65535).astype(np.uint32) << sixteen) | low
+                for s in range(0, len(columns), _BLOCK):
+                    x = columns[s : s + _BLOCK]
+                    z = bits(seeds.astype(np.uint32)[:, None], halves[0][x], halves[1][x], space[:, : k * len(x)].reshape(2, k, len(x)))
+                    near = (z >> sixteen).astype(np.float32) * (z & low).astype(np.float32) <= limit[x] if heavy else z <= limit[x]
+                    j, at = np.divmod(np.flatnonzero(near), len(x))
+                    found.append((j, x[at]))
+            settle(*(np.concatenate(y) for y in zip(*found, strict=True)))
+            # A little below the bound, for what rounding may have left out.
+            i, j = np.nonzero((np.exp(best.reshape(n, k)) > 0.999 * _ENOUGH / np.maximum(whole, 1e-300)[:, None]) & (size > 0)[:, None])
+            if len(i):
+                settle(np.repeat(j, size[i]), ranges(cut[i], size[i]))
+            samples = mix(h[which] + ts.view(np.uint64) * _BASE).reshape(n, bands, rows)
+            made = np.zeros((n, bands), np.uint64)
+            for row in range(rows):
+                made = mix(made * _BASE + samples[:, :, row])
+        made[size == 0] = 0
+        out[first:end] = made
     return out
-
-
-def _bands(hashes: np.ndarray, t: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    s = mix(hashes + t.astype(np.int64).view(np.uint64) * _BASE).reshape(bands, rows)
-    h = np.zeros(bands, np.uint64)
-    for j in range(rows):
-        h = mix(h * _BASE + s[:, j])
-    return h

@@ -205,6 +205,50 @@ def test_samples_agree_as_often_as_texts_are_similar():
     assert abs((s[0] == s[1]).mean() - shingles.jaccard((base, w), (other, w))) < 0.04
 
 
+def test_samples_need_few_draws_and_leave_none_out(monkeypatch):
+    """Most shingles of a text are ruled out by 32 bits; what is then taken is what all draws give."""
+    rng = np.random.default_rng(4)
+    sizes = [0, 1, 1, 5, 300, 0, 2000, 700, 40_000, 300]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    h = np.concatenate([np.sort(rng.integers(1, 1 << 62, n, np.uint64)) for n in sizes])
+    drawn, floor = [], np.floor
+    monkeypatch.setattr(np, "floor", lambda x, *more, **named: (drawn.append(np.size(x)), floor(x, *more, **named))[1])
+    for w in (np.ones(len(h)), np.where(rng.random(len(h)) < 0.1, rng.uniform(0.1, 30, len(h)), 1.0)):
+        monkeypatch.setattr(shingles, "_ENOUGH", 6.0, raising=False)
+        drawn.clear()
+        s = shingles.weighted_samples(h, w, offsets, 16, 4)
+        assert sum(drawn) < 0.1 * 64 * len(h)
+        for enough in (0.01, 1e9):  # all draws of nearly all texts, and of all
+            monkeypatch.setattr(shingles, "_ENOUGH", enough)
+            assert (shingles.weighted_samples(h, w, offsets, 16, 4) == s).all()
+        assert not s[0].any() and not s[5].any() and s[np.array(sizes) > 0].all()
+
+
+@pytest.mark.parametrize("usual", [0.5, 1.0, 7.0])
+def test_samples_agree_whatever_the_weights(usual):
+    rng = np.random.default_rng(5)
+    both = np.sort(rng.integers(1, 1 << 62, 300, np.uint64))
+    a, b = (np.sort(rng.choice(300, 260, replace=False)) for _ in range(2))
+    weigh = lambda x: np.where(x % 3 == 0, 1.0, np.where(x % 3 == 1, 7.0, rng.uniform(0.2, 20, len(x))))
+    wa, wb = weigh(a), weigh(b)
+    similar = shingles.jaccard((both[a], wa), (both[b], wb))
+    for rows in (1, 2):
+        s = shingles.weighted_samples(np.concatenate([both[a], both[b]]), np.concatenate([wa, wb]), np.array([0, 260, 520]), 10_000, rows, usual)
+        assert abs((s[0] == s[1]).mean() - similar**rows) < 0.02
+
+
+def test_words_are_told_apart_by_every_byte_and_their_length():
+    words = ["a", "aa", "A" * 8, "a" * 9, "a" * 16, "a" * 17, "b" + "a" * 16, "a" * 8 + "b" + "a" * 8, "a" * 16 + "b", "é", "éa", "a" * 200, "a" * 199 + "b"]
+    texts = [f"{w} , {w.upper() if w.isascii() else w}" for w in words] + ["", "..", words[0] + "-" + words[1]]
+    data, offsets = text_bytes(pa.array(texts, pa.string()))
+    found, cut = shingles.word_hashes(data, offsets, 2)
+    assert np.diff(cut).tolist() == [2] * len(words) + [0, 0, 2]
+    for h in found:
+        assert (h[: 2 * len(words) : 2] == h[1 : 2 * len(words) : 2]).all() and len(set(h.tolist())) == len(words)
+        assert h[-2:].tolist() == [h[0], h[2]]
+    assert not np.isin(*found).any()
+
+
 def words_of(text):
     lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
